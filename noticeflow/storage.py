@@ -42,3 +42,12 @@ def materialize(df: DataFrame) -> DataFrame:
     if not context._jsc.sc().getCheckpointDir().isDefined():
         context.setCheckpointDir(shared_folder(spark))
     return df.checkpoint(eager=True)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """df over at least as many partitions as there are cores, for stages that compute much per row.
+
+    A scan of many files is left as it is; only few or large files are shuffled.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(2 * cores)
