@@ -102,7 +102,7 @@ def is_sentence(s: str) -> bool:
         if sum(len(w) > 1 for w in words) * 10 < len(words) * 8 or len(_BETWEEN.findall(s)) * 4 > len(words):
             return False
         verbal = sum(w in _VERBAL for w in words)
-        if (verbal + sum(w in _LINKING for w in words)) * 5 < len(words) or not verbal and len(words) < 9:
+        if (verbal + sum(w in _LINKING for w in words)) * 5 < len(words) or not verbal and (len(words) < 9 or not _STOP.search(s.rstrip())):
             return False
     repeated = sum(len(m[0]) for m in _REPEAT.finditer(s))
     return repeated * 2 <= len(s) and len(_MARKUP.findall(s)) * 20 <= seen

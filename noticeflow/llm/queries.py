@@ -5,12 +5,42 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from noticeflow.llm import bpe, packing, quality
+from noticeflow.llm import bpe, dedup, lookalike, packing, quality
 from noticeflow.storage import materialize, read
 
 TOKENIZER = "byte_bpe_50k"
 
 
+def _rows(df: DataFrame, order) -> DataFrame:
+    id = F.col("row_id") if "row_id" in df.columns else F.lit(0).cast("bigint")
+    return dedup.rows_of(df, "natural_key", "organization_id", F.coalesce("title_normalized", "title"), "announced_date", order, id)
+
+
+def p3_found(spark: SparkSession, d: str) -> DataFrame:
+    """Batch rows that repeat an accepted notice or an earlier row of the batches."""
+    named = ["natural_key", "organization_id", "title", "title_normalized", "announced_date"]
+    order = F.struct(F.coalesce("batch_no", F.lit(2**31 - 1)).alias("batch"), F.coalesce("row_id", F.lit(2**63 - 1)).alias("row"))
+    batch = _rows(read(spark, d, "tender_batch").select("row_id", "batch_no", *named), order).where("id is not null")
+    history = _rows(read(spark, d, "tender").select(*named), F.struct(F.lit(-(2**31)).alias("batch"), F.lit(0).cast("bigint").alias("row")))
+    every = history.unionByName(batch)
+    entries = materialize(dedup.entries_of(every))
+    found = dedup.repeats(batch, entries, dedup.first_keys(every), dedup.segment_index(entries))
+    return found.withColumnRenamed("id", "row_id")
+
+
+def p5_found(spark: SparkSession, d: str) -> DataFrame:
+    """Pairs of an organization's tenders whose normalized titles look the same without being the same."""
+    tender = read(spark, d, "tender")
+    pairs = lookalike.same_looking_pairs(tender, "natural_key", "organization_id", "title_normalized")
+    return pairs.select(F.col("a").alias("natural_key_a"), F.col("b").alias("natural_key_b"))
+
+
+def p5_forms(spark: SparkSession, d: str) -> DataFrame:
+    """Every tender's normalized title in one form."""
+    forms = lookalike.canonical_texts(read(spark, d, "tender"), "natural_key", "title_normalized")
+    return forms.select(F.col("id").alias("natural_key"), F.col("text").alias("title_normalized"), F.col("form").alias("title_form"))
+
+
 def p8_ids(spark: SparkSession, d: str) -> DataFrame:
     """The token ids of every document."""
     return bpe.encode_column(read(spark, d, "documents"), "doc_id", "text", TOKENIZER).withColumnRenamed("id", "doc_id")
@@ -51,5 +81,5 @@ def p10_found(spark: SparkSession, d: str) -> DataFrame:
     return p10_statistics(spark, d).where("label not in ('prose', 'empty')").select("doc_id")
 
 
-QUERIES = {"p8_ids": p8_ids, "p9_containers": p9_containers, "p9_fill": p9_fill, "p10_found": p10_found, "p10_statistics": p10_statistics}
+QUERIES = {"p3_found": p3_found, "p5_found": p5_found, "p5_forms": p5_forms, "p8_ids": p8_ids, "p9_containers": p9_containers, "p9_fill": p9_fill, "p10_found": p10_found, "p10_statistics": p10_statistics}
 ORACLE: dict[str, str] = {}
