@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from noticeflow.llm import bpe, dedup, lookalike, packing, quality
+from noticeflow.llm import bpe, dedup, lookalike, mojibake, packing, quality
 from noticeflow.storage import materialize, read
 
 TOKENIZER = "byte_bpe_50k"
@@ -28,6 +28,24 @@ def p3_found(spark: SparkSession, d: str) -> DataFrame:
     return found.withColumnRenamed("id", "row_id")
 
 
+def _examined(spark: SparkSession, d: str) -> DataFrame:
+    tender, extraction = read(spark, d, "tender"), read(spark, d, "extraction_result")
+    corpus = read(spark, d, "documents").select("text").unionByName(tender.select(F.col("title").alias("text"))).unionByName(extraction.select("text"))
+    records = tender.select(F.lit("tender").alias("table_name"), F.col("natural_key").alias("record_key"), F.col("title").alias("text"))
+    records = records.unionByName(extraction.select(F.lit("extraction_result").alias("table_name"), F.col("id").cast("string").alias("record_key"), "text"))
+    return mojibake.examine(records.where("record_key is not null and text is not null"), mojibake.gather(corpus))
+
+
+def p4_found(spark: SparkSession, d: str) -> DataFrame:
+    """Tenders and extracted texts with characters that come from a wrong decoding."""
+    return _examined(spark, d).where("garbled").select("table_name", "record_key")
+
+
+def p4_restored(spark: SparkSession, d: str) -> DataFrame:
+    """The garbled records with their text as far as it could be restored."""
+    return _examined(spark, d).where("garbled").select("table_name", "record_key", "restored", "whole")
+
+
 def p5_found(spark: SparkSession, d: str) -> DataFrame:
     """Pairs of an organization's tenders whose normalized titles look the same without being the same."""
     tender = read(spark, d, "tender")
@@ -81,5 +99,5 @@ def p10_found(spark: SparkSession, d: str) -> DataFrame:
     return p10_statistics(spark, d).where("label not in ('prose', 'empty')").select("doc_id")
 
 
-QUERIES = {"p3_found": p3_found, "p5_found": p5_found, "p5_forms": p5_forms, "p8_ids": p8_ids, "p9_containers": p9_containers, "p9_fill": p9_fill, "p10_found": p10_found, "p10_statistics": p10_statistics}
+QUERIES = {"p3_found": p3_found, "p4_found": p4_found, "p4_restored": p4_restored, "p5_found": p5_found, "p5_forms": p5_forms, "p8_ids": p8_ids, "p9_containers": p9_containers, "p9_fill": p9_fill, "p10_found": p10_found, "p10_statistics": p10_statistics}
 ORACLE: dict[str, str] = {}
