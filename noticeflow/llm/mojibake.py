@@ -29,7 +29,8 @@ the replacement character; a text without any run is returned as it is.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import codecs
+from collections.abc import Iterable, Iterator
 from functools import cached_property
 
 import numpy as np
@@ -56,6 +57,7 @@ _MARKS = regex.compile(r"[�\u0080-\u009f\p{Co}\p{Cn}]")
 _HIGH = regex.compile(r"[¡-ÿŒœŠšŸŽžƒˆ˜‐-•…‰‹›€™†‡Ѐ-ӿ∂∏∑√∞∫≈≠≤≥◊Ωπıﬁﬂ˘˙˚˝˛ˇ⁄░-▟─-╬]")
 
 _DENSE = regex.compile(f"{_HIGH.pattern}{{2,}}")
+_NARROW = regex.compile(r"[｡-ﾟ]")
 _BESIDE = regex.compile(f"{_HIGH.pattern}(?={_HIGH.pattern})")
 
 def _known_line_char(code: int) -> bool:
@@ -170,14 +172,13 @@ class Statistics:
     def known(self, ch: str) -> bool:
         return ord(ch) in self.singles
 
-    def information(self, s: str) -> np.ndarray:
+    def information(self, codes: np.ndarray) -> np.ndarray:
         """Of each adjacent pair: log2 of how much more often than chance it occurs.
 
         nan where a character is unknown; 0 where chance would not expect to see the pair once.
         """
-        if len(s) < 2:
+        if len(codes) < 2:
             return np.zeros(0)
-        codes = np.frombuffer(s.encode("utf-32-le", "surrogatepass"), np.uint32)
         n = self.table[codes].astype(float)
         seen = self.pairs[_pair_buckets(codes[:-1], codes[1:])].astype(float)
         expected = n[:-1] * n[1:] / self.total
@@ -187,9 +188,9 @@ class Statistics:
 
     def suspicion(self, s: str) -> np.ndarray:
         """Of each adjacent pair: positive speaks for garbling."""
-        mi = self.information(s)
-        score = np.where(np.isnan(mi), 1.0, np.where(mi > 0, -np.minimum(1.5, 0.4 + mi / 4), np.where(mi < 0, np.minimum(0.25, -mi / 16), -0.25)))
         codes = np.frombuffer(s.encode("utf-32-le", "surrogatepass"), np.uint32)
+        mi = self.information(codes)
+        score = np.where(np.isnan(mi), 1.0, np.where(mi > 0, -np.minimum(1.5, 0.4 + mi / 4), np.where(mi < 0, np.minimum(0.25, -mi / 16), -0.25)))
         plain = codes < 0x80
         # a pair of ASCII characters is never evidence: names, codes and numbers have all of them
         return np.where(plain[:-1] & plain[1:], np.minimum(score, -0.15), score)
@@ -217,49 +218,39 @@ def maximal_segments(scores: np.ndarray) -> list[tuple[int, int, float]]:
     return [(int(a), int(b), after - before) for a, b, before, after in found]
 
 
-_BYTES: dict[tuple[str, str], bytes | None] = {}
+MAPPINGS = [(w, r) for w in WRONG for r in RIGHT if w != r]
+#: Encodings whose single high bytes stand for nothing.
+_MULTIBYTE = ("cp932", "euc_jp", "gbk", "cp949", "big5")
 
 
-def _bytes(ch: str, wrong: str) -> bytes | None:
-    key = (wrong, ch)
-    if key not in _BYTES:
-        try:
-            got: bytes | None = ch.encode(wrong)
-        except UnicodeEncodeError:
-            # single-byte decoders let undefined bytes through as controls
-            got = bytes([ord(ch)]) if ord(ch) < 0x100 and wrong not in ("cp932", "euc_jp", "gbk", "cp949", "big5") else None
-            if got is None and wrong == "cp932" and 0x80 <= ord(ch) < 0x100:
-                got = bytes([ord(ch)])
-            if got is None and wrong == "cp932" and "" <= ch <= "":
-                got = {0xF8F0: b"\xa0", 0xF8F1: b"\xfd", 0xF8F2: b"\xfe", 0xF8F3: b"\xff"}[ord(ch)]
-            if got is None and wrong == "cp932" and "" <= ch <= "":
-                n = ord(ch) - 0xE000
-                t = n % 188
-                got = bytes([0xF0 + n // 188, t + 0x40 + (t >= 63)])
-        _BYTES[key] = got
-    return _BYTES[key]
+def _odd_bytes(ch: str, wrong: str) -> bytes | None:
+    """The byte that a decoder let through although its encoding has no character for it."""
+    code = ord(ch)
+    if code < 0x100 and (wrong == "cp932" and code >= 0x80 or wrong not in _MULTIBYTE):
+        return bytes([code])  # as a control
+    if wrong == "cp932" and 0xE000 <= code < 0xE758:  # user-defined rows
+        row, cell = divmod(code - 0xE000, 188)
+        return bytes([0xF0 + row, cell + 0x40 + (cell >= 63)])
+    if wrong == "cp932" and 0xF8F0 <= code <= 0xF8F3:
+        return (b"\xa0", b"\xfd", b"\xfe", b"\xff")[code - 0xF8F0]
+    return None
 
 
-MAPPINGS = [(w, r) for w in WRONG for r in RIGHT if w != r]
+def _handler(wrong: str):
+    def handle(error: UnicodeEncodeError) -> tuple[bytes, int]:
+        return b"".join(_odd_bytes(ch, wrong) or b"\xff" for ch in error.object[error.start : error.end]), error.end
 
+    return handle
 
-def _undo(run: str, wrong: str, right: str) -> str | None:
-    """A run under one inverse mapping; None if hardly anything maps back."""
-    if "�" not in run:  # some encodings have a code of their own for it
-        try:
-            return run.encode(wrong).decode(right, "replace")
-        except UnicodeEncodeError:
-            pass
-    raw, lost = bytearray(), 0
-    for ch in run:
-        b = None if ch == "�" else _bytes(ch, wrong)
-        if b is None:
-            lost += 1
-            if lost * 2 > len(run) + 2:
-                return None
-            b = b"\xff"
-        raw += b
-    return bytes(raw).decode(right, "replace")
+
+for _wrong in WRONG:
+    codecs.register_error(f"noticeflow-{_wrong}", _handler(_wrong))
+
+
+def _raw(run: str, wrong: str) -> bytes | None:
+    """The bytes that a run was before its wrong decoding, 0xFF for a lost one; None if hardly any character was one of that encoding."""
+    raw = run.encode(wrong, f"noticeflow-{wrong}")
+    return None if raw.count(b"\xff") * 2 > len(run) + 2 else raw
 
 
 class Restorer:
@@ -268,41 +259,51 @@ class Restorer:
     def __init__(self, statistics: Statistics):
         self.s = statistics
 
-    def quality(self, text: str) -> tuple[int, int, float]:
-        """(corpus characters beyond ASCII, other characters beyond ASCII, mean information of known pairs beyond ASCII)."""
+    def counts(self, text: str) -> tuple[int, int, np.ndarray]:
+        """(corpus characters beyond ASCII, others beyond ASCII, the code points of the text's form)."""
         form = text.translate(_FORM_TABLE)
         codes = np.frombuffer(form.encode("utf-32-le", "surrogatepass"), np.uint32)
-        high = codes >= 0x80
+        high = codes[codes >= 0x80]
         # wrong mappings yield narrow kana from any high byte, so these don't count for a mapping
-        narrow = sum("｡" <= c <= "ﾟ" for c in text)
-        good = int((high & (self.s.table[codes] > 0)).sum()) - narrow
-        mi = self.s.information(form)
-        both = high[:-1] & high[1:] & ~np.isnan(mi) if len(codes) > 1 else np.zeros(0, bool)
-        return good, int(high.sum()) - good - narrow // 2, float(mi[both].mean()) if both.any() else 0.0
-
-    def decode(self, run: str, mappings: list[tuple[str, str]] | None = None) -> tuple[float, str, tuple[str, str]] | None:
-        """(worth, original, mapping) of the best mapping of a run, or None."""
-        best: tuple[float, str, tuple[str, str]] | None = None
+        narrow = len(_NARROW.findall(text))
+        good = int(np.count_nonzero(self.s.table[high])) - narrow
+        return good, len(high) - good - narrow // 2, codes
+
+    def decode(self, run: str, mappings: Iterable[tuple[str, str]] = ()) -> tuple[tuple[float, str] | None, list[tuple[str, str]]]:
+        """((worth, original) of the best mapping of a run or None, the mappings that gave corpus characters at all)."""
+        best: tuple[float, str] | None = None
+        hopeful: list[tuple[int, tuple[str, str]]] = []
+        raw: dict[str, bytes | None] = {}
         for wrong, right in mappings or MAPPINGS:
-            got = _undo(run, wrong, right)
-            if got is None:
+            if wrong not in raw:
+                raw[wrong] = _raw(run, wrong)
+            if raw[wrong] is None:
                 continue
-            options = [got]
-            if right == "utf-8" and wrong in ("cp1252", "latin-1") and _HIGH.search(got):  # garbled twice
-                again = _undo(got, "cp1252", "utf-8")
-                options += [again] if again else []
+            first = raw[wrong].decode(right, "replace")
+            options = [first]
+            if right == "utf-8" and wrong in ("cp1252", "latin-1") and _HIGH.search(first):  # garbled twice
+                again = _raw(first, "cp1252")
+                options += [again.decode("utf-8", "replace")] if again else []
             for t in options:
                 gaps = t.count("�")
                 if t == run or gaps * 2 > len(t) + 2:
                     continue
-                good, bad, mi = self.quality(t)
+                good, bad, codes = self.counts(t)
                 bad -= gaps
-                if good < 2 or good < 1.5 * bad or good == 2 and (bad or gaps or mi <= 0):
+                if good >= 2:
+                    hopeful.append((good - bad, (wrong, right)))
+                if good < 2 or good < 1.5 * bad or good == 2 and (bad or gaps):
+                    continue
+                worth = good - 2 * bad - 0.5 * gaps
+                if best is not None and worth + 8 <= best[0]:
                     continue
-                worth = good - 2 * bad - 0.5 * gaps + 2 * min(mi, 4) * (good > 2)
-                if mi > -0.5 and (best is None or worth > best[0]):
-                    best = (worth, t, (wrong, right))
-        return best
+                mi = self.s.information(codes)
+                both = (codes[:-1] >= 0x80) & (codes[1:] >= 0x80) & ~np.isnan(mi)
+                mean = float(mi[both].mean()) if both.any() else 0.0
+                worth += 2 * min(mean, 4) * (good > 2)
+                if mean > (0 if good == 2 else -0.5) and (best is None or worth > best[0]):
+                    best = (worth, t)
+        return best, [m for _, m in sorted(hopeful, reverse=True)[:3]]
 
     def marked(self, run: str) -> bool:
         """Whether a run bears marks of decoding, restorable or not."""
@@ -313,7 +314,8 @@ class Restorer:
         beside = len(_BESIDE.findall(run))
         letters = sum(c.isascii() and c.isalpha() for c in run)
         signs = sum(not c.isalpha() and not c.isascii() for c in run)
-        return dense >= 4 and high > 2 * letters and signs * 8 >= high or beside >= 3 and high >= 6 and high * 3 >= len(run)
+        thick = dense >= 4 and high > 2 * letters or beside >= 3 and high >= 6 and high * 3 >= len(run)
+        return thick and signs * 8 >= high  # words have letters, decoding also gives signs
 
     def restore(self, text: str) -> tuple[bool, str, bool]:
         """(garbled, text restored as far as possible, restored wholly)."""
@@ -331,13 +333,12 @@ class Restorer:
             if start < at:
                 continue
             ends = []
-            first = self.decode(text[start:end])
+            _, hopeful = self.decode(text[start:end])
             # the run's ends may each reach over one sound character, or leave out an ASCII byte of a garbled one
-            mappings = [first[2]] if first else MAPPINGS if end - start < 40 else []
             for s in {start, got[a + 1][1], got[max(a - 1, 0)][1]}:
                 for e in {end, got[b - 1][2], got[min(b + 1, len(got) - 1)][2]}:
-                    if at <= s < e and mappings:
-                        d = self.decode(text[s:e], mappings)
+                    if at <= s < e and hopeful:
+                        d, _ = self.decode(text[s:e], hopeful)
                         if d:
                             ends.append((d[0] + self._outside(got, s, e), s, e, d[1]))
             if ends:
@@ -366,7 +367,7 @@ class Restorer:
             nonlocal hit, whole
             body = regex.sub(r"^\x1b?\$[@B]|\x1b?\([BJ]$", "", m[0])
             original = (b"\x1b$B" + body.encode("ascii") + b"\x1b(B").decode("iso2022_jp", "replace")
-            good, bad, _ = self.quality(original)
+            good, bad, _ = self.counts(original)
             if good < 1 or bad > good:
                 return m[0]
             hit = True
