@@ -309,11 +309,12 @@ class Restorer:
         """Whether a run bears marks of decoding, restorable or not."""
         if _MARKS.search(run):
             return True
-        high = len(_HIGH.findall(run))
+        found = _HIGH.findall(run)
+        high = len(found)
         dense = max((len(m[0]) for m in _DENSE.finditer(run)), default=0)
         beside = len(_BESIDE.findall(run))
         letters = sum(c.isascii() and c.isalpha() for c in run)
-        signs = sum(not c.isalpha() and not c.isascii() for c in run)
+        signs = sum(not c.isalpha() for c in found)
         thick = dense >= 4 and high > 2 * letters or beside >= 3 and high >= 6 and high * 3 >= len(run)
         return thick and signs * 8 >= high  # words have letters, decoding also gives signs
 
