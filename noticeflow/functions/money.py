@@ -1,8 +1,8 @@
-"""Price texts as columns: amount, undisclosed, tax basis."""
+"""Price texts: amount, undisclosed, tax basis."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from noticeflow.functions.text import nfkc, strip_blanks
@@ -24,38 +24,41 @@ def tax_basis(c: Column) -> Column:
     return F.when(inside & ~outside, "included").when(outside & ~inside, "excluded").otherwise("unknown")
 
 
-def parse_amount(c: Column) -> Column:
-    """Amount in yen as decimal(38,0) of an NFKC text; null where none is stated.
+def with_amount(df: DataFrame, text: str, out: str) -> DataFrame:
+    """df with the amount in yen, decimal(38,0), that an NFKC text column states; null where it states none.
 
     Each unit takes the first number before it and consumes the text up to
     there, largest unit first; then a number before the yen sign is added; a bare
     number counts only where no unit was found. Numbers have a digit limit and
     start at the head of their digits, so nothing is cut silently and no
-    pattern backtracks over long digit runs.
+    pattern backtracks over long digit runs. Every step is a column of its own:
+    as one nested expression the repeated parts would multiply.
     """
-    zero = F.lit(0).cast("decimal(38,0)")
-    text, total, hit = F.regexp_replace(c, "[,，]", ""), zero, F.lit(False)
+    rest, n, total = "_money_rest", "_money_n", "_money_total"
+    step = df.withColumns({rest: F.regexp_replace(text, "[,，]", ""), total: F.lit(None).cast("decimal(38,0)")})
     for unit, factor in UNITS:
-        n = F.nullif(F.regexp_extract(text, rf"(?U){_NUMBER}\s*{unit}", 1), F.lit(""))
+        step = step.withColumn(n, F.nullif(F.regexp_extract(rest, rf"(?U){_NUMBER}\s*{unit}", 1), F.lit("")).cast("decimal(16,0)"))
         # 16 digits times 10^8 stay within 24 digits
-        total = (total + F.coalesce(n.cast("decimal(16,0)") * F.lit(factor).cast("decimal(9,0)"), zero)).cast("decimal(38,0)")
-        hit = hit | n.isNotNull()
-        text = F.when(n.isNotNull(), F.regexp_replace(text, rf"(?Us)^.*?{_NUMBER}\s*{unit}", "")).otherwise(text)
-    yen = F.nullif(F.regexp_extract(text, rf"(?U){_NUMBER}\s*円", 1), F.lit("")).cast("decimal(16,0)")
-    bare = F.nullif(F.regexp_extract(text, rf"(?U){_NUMBER}(?!\d)", 1), F.lit("")).cast("decimal(16,0)")
-    return F.when(yen.isNotNull(), (total + yen).cast("decimal(38,0)")).when(hit, total).otherwise(bare.cast("decimal(38,0)"))
-
-
-def parse_price(c: Column) -> Column:
-    """struct(amount, undisclosed, tax_basis, raw); undisclosed and unreadable prices have no amount."""
-    raw = strip_blanks(F.coalesce(c, F.lit("")))
-    long = F.length(raw) > LONGEST
-    text = nfkc(F.when(long, F.lit("")).otherwise(raw))
-    empty = text.isin(*EMPTY) | long
-    undisclosed = ~empty & text.rlike("|".join(UNDISCLOSED))
-    amount = F.when(~empty & ~undisclosed, parse_amount(text))
-    basis = F.when(empty | undisclosed, "unknown").otherwise(tax_basis(text))
-    return F.struct(amount.alias("amount"), undisclosed.alias("undisclosed"), basis.alias("tax_basis"), F.substring(raw, 1, LONGEST).alias("raw"))
+        more = F.coalesce(total, F.lit(0).cast("decimal(38,0)")) + F.col(n) * F.lit(factor).cast("decimal(9,0)")
+        cut = F.regexp_replace(rest, rf"(?Us)^.*?{_NUMBER}\s*{unit}", "")
+        step = step.withColumns({total: F.when(F.col(n).isNotNull(), more.cast("decimal(38,0)")).otherwise(F.col(total)), rest: F.when(F.col(n).isNotNull(), cut).otherwise(F.col(rest))})
+    yen = F.nullif(F.regexp_extract(rest, rf"(?U){_NUMBER}\s*円", 1), F.lit("")).cast("decimal(38,0)")
+    bare = F.nullif(F.regexp_extract(rest, rf"(?U){_NUMBER}(?!\d)", 1), F.lit("")).cast("decimal(38,0)")
+    step = step.withColumn(n, yen)
+    amount = F.when(F.col(n).isNotNull(), F.coalesce(total, F.lit(0)) + F.col(n)).when(F.col(total).isNotNull(), F.col(total)).otherwise(bare)
+    return step.withColumn(out, amount.cast("decimal(38,0)")).drop(rest, n, total)
+
+
+def with_price(df: DataFrame, column: str, out: str) -> DataFrame:
+    """df with struct(amount, undisclosed, tax_basis, raw) of a price text; undisclosed and unreadable prices have no amount."""
+    raw, text, empty, hidden, amount = "_price_raw", "_price_text", "_price_empty", "_price_hidden", "_price_amount"
+    step = df.withColumn(raw, strip_blanks(F.coalesce(column, F.lit(""))))
+    step = step.withColumn(text, nfkc(F.when(F.length(raw) > LONGEST, F.lit("")).otherwise(F.col(raw))))
+    step = step.withColumn(empty, F.col(text).isin(*EMPTY) | (F.length(raw) > LONGEST))
+    step = step.withColumn(hidden, ~F.col(empty) & F.col(text).rlike("|".join(UNDISCLOSED)))
+    step = with_amount(step.withColumn(text, F.when(F.col(empty) | F.col(hidden), F.lit("")).otherwise(F.col(text))), text, amount)
+    told = F.struct(F.col(amount).alias("amount"), F.col(hidden).alias("undisclosed"), tax_basis(F.col(text)).alias("tax_basis"), F.substring(raw, 1, LONGEST).alias("raw"))
+    return step.withColumn(out, told).drop(raw, text, empty, hidden, amount)
 
 
 def as_bigint(amount: Column) -> Column:

@@ -13,20 +13,24 @@ from noticeflow.sources.store import Store
 def ingest_stream(raw: DataFrame, store: Store, checkpoint: str, sequence: str = "source_captured_at") -> StreamingQuery:
     """Raw notices folded into the store batch by batch.
 
-    A batch that is run again after a failure finds its rows unchanged in every
-    watched field or replaces its own history part: no revision is written twice.
+    A history part is named by its epoch and the version it was folded from. A
+    batch that is run again after its version was replaced finds that part and
+    is skipped; one that died before replaces its own part.
     """
 
     def one(batch: DataFrame, epoch: int) -> None:
+        version = store.version("tender")
+        root, fs = store._path("tender_revision")
+        if fs.exists(root):
+            names = [s.getPath().getName() for s in fs.listStatus(root)]
+            bases = [int(n.rpartition("-v")[2]) for n in names if n.startswith(f"part=epoch-{epoch}-v")]
+            if any(b < version for b in bases):
+                return
         typed, _ = ingest.quarantine(ingest.normalize(batch))
-        part = f"epoch-{epoch}"
-        done, fs = store._path("tender_revision", f"part={part}", "_SUCCESS")
-        if fs.exists(done) and store.version("tender") > epoch:
-            return
-        current = store.read("tender")
-        folded = ingest.fold(current, typed, [sequence, "source_url"]).cache()
-        store.append("tender_revision", ingest.history(folded, sequence), part)
-        store.replace("tender", ingest.merge(current, folded, [sequence, "source_url"], sequence))
+        order = [sequence, "source_url"]
+        folded = ingest.fold(store.read("tender"), typed, order).cache()
+        store.append("tender_revision", ingest.history(folded, sequence), f"epoch-{epoch}-v{version}")
+        store.replace("tender", ingest.merge(store.read("tender"), folded, order, sequence))
         folded.unpersist()
 
     return raw.writeStream.foreachBatch(one).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
