@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+import re
+import unicodedata
+from decimal import Decimal
 
-from noticeflow.functions.text import nfkc, strip_blanks
+import pandas as pd
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Fixed values.
 UNDISCLOSED = ("非公表", "非公開", "公表しない", "公表せず", "未定", "不明", "事後公表", "予定価格を公表しない", "入札後に公表", "開札後に公表", "落札後に公表")
@@ -17,48 +21,62 @@ DIGITS = 16
 UNITS = (("億", 10**8), ("百万", 10**6), ("万", 10**4), ("千", 10**3))
 
 _NUMBER = rf"(?<!\d)(\d{{1,{DIGITS}}})"
+_BEFORE = [(re.compile(rf"{_NUMBER}\s*{unit}"), factor) for unit, factor in UNITS]
+_YEN, _BARE = re.compile(rf"{_NUMBER}\s*円"), re.compile(rf"{_NUMBER}(?!\d)")
+_IN, _OUT = re.compile(TAX_INCLUDED), re.compile(TAX_EXCLUDED)
 
 
-def tax_basis(c: Column) -> Column:
-    inside, outside = c.rlike(TAX_INCLUDED), c.rlike(TAX_EXCLUDED)
-    return F.when(inside & ~outside, "included").when(outside & ~inside, "excluded").otherwise("unknown")
-
-
-def with_amount(df: DataFrame, text: str, out: str) -> DataFrame:
-    """df with the amount in yen, decimal(38,0), that an NFKC text column states; null where it states none.
+def amount_in(text: str) -> int | None:
+    """Yen that an NFKC text states.
 
     Each unit takes the first number before it and consumes the text up to
     there, largest unit first; then a number before the yen sign is added; a bare
     number counts only where no unit was found. Numbers have a digit limit and
     start at the head of their digits, so nothing is cut silently and no
-    pattern backtracks over long digit runs. Every step is a column of its own:
-    as one nested expression the repeated parts would multiply.
+    pattern backtracks over long digit runs.
+    """
+    rest, parts = text.replace(",", ""), []
+    for pattern, factor in _BEFORE:
+        if m := pattern.search(rest):
+            parts.append(int(m[1]) * factor)
+            rest = rest[m.end() :]
+    last = _YEN.search(rest) or (None if parts else _BARE.search(rest))
+    if last:
+        parts.append(int(last[1]))
+    return sum(parts) if parts else None
+
+
+def basis_in(text: str) -> str:
+    """Both or neither way of saying it is unknown."""
+    said = (bool(_IN.search(text)), bool(_OUT.search(text)))
+    return {(True, False): "included", (False, True): "excluded"}.get(said, "unknown")
+
+
+def price_in(raw: str | None) -> tuple[Decimal | None, bool, str, str]:
+    """(amount, undisclosed, tax_basis, raw) of a price text."""
+    shown = (raw or "").strip()
+    if len(shown) > LONGEST:
+        return None, False, "unknown", shown[:LONGEST]
+    text = unicodedata.normalize("NFKC", shown)
+    if text in EMPTY:
+        return None, False, "unknown", shown
+    if any(x in text for x in UNDISCLOSED):
+        return None, True, "unknown", shown
+    amount = amount_in(text)
+    return None if amount is None else Decimal(amount), False, basis_in(text), shown
+
+
+PRICE = T.StructType([T.StructField("amount", T.DecimalType(38, 0)), T.StructField("undisclosed", T.BooleanType()), T.StructField("tax_basis", T.StringType()), T.StructField("raw", T.StringType())])
+
+
+@F.pandas_udf(PRICE)
+def parse_price(raw: pd.Series) -> pd.DataFrame:
+    """struct(amount, undisclosed, tax_basis, raw); undisclosed and unreadable prices have no amount.
+
+    One crossing into Python for the whole reading: as JVM expressions the
+    units' steps nest, and predicates pushed through them would multiply them.
     """
-    rest, n, total = "_money_rest", "_money_n", "_money_total"
-    step = df.withColumns({rest: F.regexp_replace(text, "[,，]", ""), total: F.lit(None).cast("decimal(38,0)")})
-    for unit, factor in UNITS:
-        step = step.withColumn(n, F.nullif(F.regexp_extract(rest, rf"(?U){_NUMBER}\s*{unit}", 1), F.lit("")).cast("decimal(16,0)"))
-        # 16 digits times 10^8 stay within 24 digits
-        more = F.coalesce(total, F.lit(0).cast("decimal(38,0)")) + F.col(n) * F.lit(factor).cast("decimal(9,0)")
-        cut = F.regexp_replace(rest, rf"(?Us)^.*?{_NUMBER}\s*{unit}", "")
-        step = step.withColumns({total: F.when(F.col(n).isNotNull(), more.cast("decimal(38,0)")).otherwise(F.col(total)), rest: F.when(F.col(n).isNotNull(), cut).otherwise(F.col(rest))})
-    yen = F.nullif(F.regexp_extract(rest, rf"(?U){_NUMBER}\s*円", 1), F.lit("")).cast("decimal(38,0)")
-    bare = F.nullif(F.regexp_extract(rest, rf"(?U){_NUMBER}(?!\d)", 1), F.lit("")).cast("decimal(38,0)")
-    step = step.withColumn(n, yen)
-    amount = F.when(F.col(n).isNotNull(), F.coalesce(total, F.lit(0)) + F.col(n)).when(F.col(total).isNotNull(), F.col(total)).otherwise(bare)
-    return step.withColumn(out, amount.cast("decimal(38,0)")).drop(rest, n, total)
-
-
-def with_price(df: DataFrame, column: str, out: str) -> DataFrame:
-    """df with struct(amount, undisclosed, tax_basis, raw) of a price text; undisclosed and unreadable prices have no amount."""
-    raw, text, empty, hidden, amount = "_price_raw", "_price_text", "_price_empty", "_price_hidden", "_price_amount"
-    step = df.withColumn(raw, strip_blanks(F.coalesce(column, F.lit(""))))
-    step = step.withColumn(text, nfkc(F.when(F.length(raw) > LONGEST, F.lit("")).otherwise(F.col(raw))))
-    step = step.withColumn(empty, F.col(text).isin(*EMPTY) | (F.length(raw) > LONGEST))
-    step = step.withColumn(hidden, ~F.col(empty) & F.col(text).rlike("|".join(UNDISCLOSED)))
-    step = with_amount(step.withColumn(text, F.when(F.col(empty) | F.col(hidden), F.lit("")).otherwise(F.col(text))), text, amount)
-    told = F.struct(F.col(amount).alias("amount"), F.col(hidden).alias("undisclosed"), tax_basis(F.col(text)).alias("tax_basis"), F.substring(raw, 1, LONGEST).alias("raw"))
-    return step.withColumn(out, told).drop(raw, text, empty, hidden, amount)
+    return pd.DataFrame([price_in(x) for x in raw], columns=PRICE.names)
 
 
 def as_bigint(amount: Column) -> Column:

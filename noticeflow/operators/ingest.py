@@ -26,10 +26,10 @@ def normalize(raw: DataFrame) -> DataFrame:
         temporal.parse_deadline("qa_deadline_text").alias("_qa"),
         temporal.parse_deadline("application_deadline_text").alias("_application"),
         temporal.parse_deadline("bid_deadline_text").alias("_bid"),
+        money.parse_price("price_text").alias("_price"),
     )
-    read = money.with_price(read, "price_text", "_price")
     titled = read.withColumn("_normal", text.title_from_nfkc(F.col("_title")))
-    result = F.coalesce(F.get(F.col("raw_payload"), F.lit("is_result_announcement")) == "true", F.lit(False)) if "raw_payload" in raw.columns else F.lit(False)
+    result = F.coalesce(F.try_element_at(F.col("raw_payload"), F.lit("is_result_announcement")) == "true", F.lit(False)) if "raw_payload" in raw.columns else F.lit(False)
     day = F.col("_bid.date")
     return titled.select(
         identity.natural_key(F.col("organization_id"), F.col("_normal"), F.col("_announced"), day).alias("natural_key"),

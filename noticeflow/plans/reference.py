@@ -199,7 +199,7 @@ def r_dates(spark: SparkSession, d: str) -> DataFrame:
 @_query()
 def r_prices(spark: SparkSession, d: str) -> DataFrame:
     """Price texts by the plain rules: amount, undisclosed, tax basis."""
-    return money.with_price(read(spark, d, "tender").select("natural_key", "price_raw"), "price_raw", "p").select("natural_key", money.as_bigint(F.col("p.amount")).alias("amount"), F.col("p.undisclosed").alias("undisclosed"), F.col("p.tax_basis").alias("tax_basis"))
+    return read(spark, d, "tender").withColumn("p", money.parse_price("price_raw")).select("natural_key", money.as_bigint(F.col("p.amount")).alias("amount"), F.col("p.undisclosed").alias("undisclosed"), F.col("p.tax_basis").alias("tax_basis"))
 
 
 @_query("""

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import tempfile
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -51,3 +53,20 @@ def spread(df: DataFrame) -> DataFrame:
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df if df.rdd.getNumPartitions() >= cores else df.repartition(2 * cores)
+
+
+def ship(spark: SparkSession) -> None:
+    """Give the executors' Python workers this package, once per application.
+
+    Needed where it is not installed on them; harmless where it is.
+    """
+    context = spark.sparkContext
+    if getattr(context, "_noticeflow_shipped", False):
+        return
+    context._noticeflow_shipped = True
+    root = Path(__file__).resolve().parent
+    archive = Path(tempfile.mkdtemp(prefix="noticeflow-code-")) / "noticeflow.zip"  # served by the driver, read once by each executor
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as z:
+        for f in sorted(root.rglob("*.py")):
+            z.write(f, f"{root.name}/{f.relative_to(root)}")
+    context.addPyFile(str(archive))
