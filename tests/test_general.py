@@ -1,0 +1,207 @@
+"""Snapshot changes, implausible counts, trailing totals, units: against brute force and in odd cases."""
+
+import datetime as dt
+import random
+from decimal import Decimal
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from noticeflow.operators import snapshot_diff, spikes, trailing, units
+
+D = dt.date(2026, 1, 1)
+
+
+def day(n):
+    return D + dt.timedelta(days=n)
+
+
+# 1
+
+SNAP = "snapshot_date date, delivered_at timestamp_ntz, natural_key string, status string, n int, hash string, key string, g string"
+
+
+def snapshots(rng, n):
+    at = lambda i: dt.datetime(2026, 1, 1) + dt.timedelta(minutes=i)
+    return [(rng.choice([day(0), day(3), day(4), day(9), None]), rng.choice([at(i), at(i), None]), rng.choice([None, *"abcdefgh"]), rng.choice([None, "x", "y"]), rng.choice([None, 1]), "h", "k", "g") for i in range(n)]
+
+
+def brute_changes(rows):
+    last = {}
+    for d, at, key, status, n, *_ in rows:
+        if d is None or key is None:
+            continue
+        have = last.get((d, key))
+        if have is None or (at is not None and (have[0] is None or at > have[0])):
+            last[d, key] = (at, (status, n))
+    dates = sorted({d for d, _ in last})
+    out = set()
+    for a, b in zip(dates, dates[1:]):
+        ka, kb = ({k: v[1] for (d, k), v in last.items() if d == x} for x in (a, b))
+        out |= {(b, k, "added") for k in kb.keys() - ka.keys()} | {(b, k, "removed") for k in ka.keys() - kb.keys()} | {(b, k, "changed") for k in ka.keys() & kb.keys() if ka[k] != kb[k]}
+    return out
+
+
+@pytest.mark.parametrize(("seed", "n"), [(1, 0), (2, 1), (3, 40), (4, 300)])
+def test_changes(spark, seed, n):
+    # nulls delivered at the same unknown time are ties: one row each here
+    rows, seen = [], set()
+    for r in snapshots(random.Random(seed), n):
+        if r[1] is not None or (r[0], r[2]) not in seen:
+            rows.append(r)
+            seen |= {(r[0], r[2])} if r[1] is None else set()
+    df = spark.createDataFrame(rows, SNAP)
+    index = snapshot_diff.index_rows(df, "natural_key", ("status", "n"), "delivered_at", by=["snapshot_date"]).where("snapshot_date is not null")
+    got = snapshot_diff.probe_generations(index, "snapshot_date")
+    assert {tuple(r) for r in got.collect()} == brute_changes(rows) and got.count() == len(brute_changes(rows))
+    values = snapshot_diff.changed_values(df, got, "natural_key", "snapshot_date", "delivered_at", ("status", "n")).collect()
+    assert len(values) == sum(c == "changed" for *_, c in brute_changes(rows))
+    assert all((r["old_status"], r["old_n"]) != (r["new_status"], r["new_n"]) for r in values)
+
+
+def test_null_position_matters(spark):
+    df = spark.createDataFrame([(None, "a"), ("a", None), (None, "a")], "x string, y string").withColumn("h", snapshot_diff.row_hash(["x", "y"]))
+    a, b, c = (r["h"] for r in df.collect())
+    assert a == c != b
+
+
+def test_periodic_index_is_the_history(spark, tmp_path):
+    rows = [r for r in snapshots(random.Random(8), 200) if r[0] and r[1]]
+    index = snapshot_diff.SnapshotIndex(spark, str(tmp_path / "index"), "natural_key", ("status", "n"), "delivered_at", buckets=3)
+    assert index.generation() == -1
+    got = set()
+    for i, d in enumerate(sorted({r[0] for r in rows})):
+        changes = index.apply(spark.createDataFrame([r for r in rows if r[0] == d], SNAP))
+        got |= {(d, r["key"], r["change_kind"]) for r in changes.collect()} if i else set()
+    assert got == brute_changes(rows) and index.generation() == 3
+
+
+# 2
+
+RUN = "id bigint, org string, target_date date, attempt int, status string, fetched bigint, ins bigint, upd bigint, level double, stuck string"
+
+
+def flags(spark, rows):
+    df = spark.createDataFrame([(*r, 0.0, "x") for r in rows], RUN)
+    return {r["id"]: r for r in spikes.flag_runs(df, "id", "org", "target_date", "attempt", "status", "fetched", "ins", "upd").collect()}
+
+
+def found(spark, rows):
+    return {i for i, r in flags(spark, rows).items() if r["impossible"] or r["spike"] or r["stuck"]}
+
+
+def series(counts, start=0, org="o", status="ok", first_id=0):
+    return [(first_id + i, org, day(start + i), 1, status, c, 0, 0) for i, c in enumerate(counts)]
+
+
+def test_bounds(spark):
+    rows = [(1, "o", D, 1, "ok", -1, 0, 0), (2, "o", D, 2, "ok", 0, 0, 0), (3, "o", D, 3, "ok_empty", 1, 0, 0), (4, "o", D, 4, "disabled", 5, 0, 0), (5, "o", D, 5, "ok", 5, 4, 2), (6, "o", D, 6, "failed", 65535, 0, 0), (7, "o", D, 7, "failed", 0, 0, 0), (8, "o", D, 8, "partial", 3, 1, 1), (9, "o", D, 9, "ok_empty", 0, 0, 0), (10, "o", D, 10, "ok", 5, None, None), (11, "o", D, 11, "ok", None, None, None), (None, "o", D, 1, "ok", -1, 0, 0), (12, None, None, None, None, None, None, None), (1, "o", D, 1, "ok", -1, 0, 0)]
+    assert found(spark, rows) == {1, 2, 3, 4, 5, 6}
+    assert flags(spark, []) == {}
+
+
+def test_spikes_shifts_and_seasons(spark):
+    rng = random.Random(2)
+    base = lambda n, level: [level + rng.randrange(-9, 10) for _ in range(n)]
+    counts = base(40, 60)
+    counts[10], counts[20], counts[21], counts[30] = 900, 3, 4, 250  # the last is above 50 more but below five times
+    shift = base(40, 60) + base(40, 130)
+    rows = series(counts) + series(shift, org="p", first_id=1000) + series(base(30, 2), org="q", first_id=2000)
+    rows += [(3000, "o", day(10), 2, "partial", 1, 0, 0), (3001, "o", day(10), 0, "ok", 61, 0, 0), (3002, "o", day(11), 0, "ok", 2, 0, 0)]
+    got = found(spark, rows)
+    assert {i for i in got if i < 1000 or i >= 3000} == {10, 20, 21, 3002} | ({30} if 250 > 5 * np.median(counts) else set())
+    assert not {i for i in got if 1000 <= i < 2000}
+
+
+def test_stuck(spark):
+    rng = random.Random(5)
+    vary = lambda n: [40 + i % 7 + rng.randrange(0, 2) * 9 for i in range(n)]
+    rows = series(vary(20) + [57] * 7 + vary(20))
+    rows += series(vary(20) + [57] * 6 + vary(20), org="six", first_id=1000)
+    rows += series([25] * 60, org="constant", first_id=2000)
+    gap = series(vary(20) + [57] * 4, org="gap", first_id=3000) + series([57] * 4 + vary(20), start=25, org="gap", first_id=3100)
+    zero = series(vary(20), org="zero", first_id=4000) + series([0] * 9, 20, "zero", "ok_empty", 4100)
+    assert found(spark, rows + gap + zero) == set(range(20, 27))
+    twice = rows[:20] + [(r[0] + 500, *r[1:]) for r in rows[20:27]] + rows[20:47]  # other ids on the same days
+    assert set(range(20, 27)) <= found(spark, twice)
+
+
+def test_wavelet_sums_to_the_series():
+    x = np.log1p(np.array([random.Random(1).randrange(100) for _ in range(77)], float))
+    details, rest = spikes.median_wavelet(x)
+    assert len(details) == 5 and np.allclose(sum(details) + rest, x)
+    assert [len(d) for d in spikes.median_wavelet(np.array([1.0]))[0]] == [1] * 5
+
+
+# 6
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_trailing(spark, seed):
+    rng = random.Random(seed)
+    rows = [(rng.choice("abc"), day(rng.randrange(0, 200)), rng.randrange(1, 4), rng.choice(["ok", "running"]), rng.choice([None, -3, 0, 5, 11]), 1) for _ in range(150)]
+    rows += [(None, D, 1, "ok", 9, 1), ("a", None, 1, "ok", 9, 1), ("one", D, 1, "running", 9, 1)]
+    df = spark.createDataFrame(rows, "org string, target_date date, attempt int, status string, fetched bigint, value int")
+    daily = trailing.daily_values(df, "org", "target_date", F.greatest(F.coalesce("fetched", F.lit(0)), F.lit(0)), F.col("attempt"), F.col("status") != "running")
+    got = {(r["entity"], r["day"]): (r["value"], r["total_7"], r["total_30"], r["average_7"], r["average_30"]) for r in trailing.trailing_totals(trailing.dense_calendar(daily), (7, 30)).collect()}
+    want = {}
+    for org in {r[0] for r in rows if r[0] and r[1]}:
+        mine = [r for r in rows if r[0] == org and r[1]]
+        a, b = min(r[1] for r in mine), max(r[1] for r in mine)
+        value = {}
+        for n in range((b - a).days + 1):
+            d = a + dt.timedelta(days=n)
+            best = max(((r[2], max(r[4] or 0, 0)) for r in mine if r[1] == d and r[3] != "running"), default=(0, 0))
+            value[n] = best[1]
+            t = [sum(value[m] for m in range(max(0, n - w + 1), n + 1)) for w in (7, 30)]
+            want[org, d] = (best[1], *t, t[0] / min(7, n + 1), t[1] / min(30, n + 1))
+    assert got == want
+
+
+def test_trailing_empty(spark):
+    df = spark.createDataFrame([], "entity string, day date, value bigint")
+    assert trailing.trailing_totals(trailing.dense_calendar(df), (7, 30)).count() == 0
+
+
+# 7
+
+STATED = [
+    ("７，２７６，１９０円（うち消費税額661,471円）", 7276190, "included"), ("総額605,850円 (内消費税 55,077円)", 605850, "included"), ("4千万円", 40_000_000, "unknown"), ("金六拾七萬円", 670_000, "unknown"), ("五千四百九十三万円（消費税及び地方消費税を除く）", 54_930_000, "excluded"),
+    ("金弐千八百壱拾八萬八千円也(税抜き)", 28_188_000, "excluded"), ("千円単位 6,002.2", 6_002_200, "unknown"), ("¥3.2M", 3_200_000, "unknown"), ("3,118（単位：千円） tax included", 3_118_000, "included"), ("単位:百万円 10.4", 10_400_000, "unknown"),
+    ("46（百万円）", 46_000_000, "unknown"), ("29,378 thousand yen", 29_378_000, "unknown"), ("2.4 million yen excl. tax", 2_400_000, "excluded"), ("1,142仟円(税抜き)", 1_142_000, "excluded"), ("2億2千万円", 220_000_000, "unknown"), ("1億1,017万円", 110_170_000, "unknown"),
+    ("1.46億円", 146_000_000, "unknown"), ("1.7百万円(消費税抜)", 1_700_000, "excluded"), ("上限824万円", 8_240_000, "unknown"), ("\\1,371,599（税抜）", 1_371_599, "excluded"), ("JPY 11,439,456（外税）", 11_439_456, "excluded"), ("１２１，２４６，８４２円※消費税は含まない", 121_246_842, "excluded"),
+    ("金　14,511,234　円也", 14_511_234, "unknown"), ("13,177,954.-", None, "unknown"), ("4,683", None, "unknown"), ("3.3（内税）", None, "included"), ("一億一千六百八十八万円", 116_880_000, "unknown"),
+]
+
+
+@pytest.mark.parametrize(("raw", "yen", "basis"), STATED)
+def test_stated_amounts(raw, yen, basis):
+    number, unit, got, hidden = units.read_price(raw)
+    assert (None if unit is None else number * unit, got, hidden) == (yen, basis, False) and number is not None
+
+
+@pytest.mark.parametrize("raw", [None, "", " ", "-", "―", "なし", "該当なし", "非公表", "開札後に公表", "2,300万円～4,600万円", "1,000万円以上2,000万円未満", "600万円から1,200万円の範囲", "x" * 500, "100円または200円", "税込"])
+def test_no_definite_amount(raw):
+    assert units.read_price(raw)[0] is None
+
+
+def test_declared_units():
+    notes = {"PDF併用。一覧表は(単位:千円)の注記が表の外": 1000, "price column in millions of yen": 10**6, "価格の単位は百万円(サイト冒頭に記載)": 10**6, "amounts on this site are given in thousands of yen": 1000, "金額は円で掲載": None, "更新は平日のみ": None, None: None}
+    assert {n: units.declared_unit(n) for n in notes} == notes
+
+
+def test_conversion(spark):
+    rows = [("a", "k", "4,683", 4_683_000, "unknown"), ("b", "k", "4,683", 4_683, "unknown"), ("c", "y", "4,683", 4_683, "unknown"), ("d", "y", "100円", None, "unknown"), ("e", "y", "100円（税込）", 100, "unknown"), ("f", "y", "非公表", 5, "included"), ("g", "gone", "2万円", 20_000, "unknown"), (None, None, None, None, None), ("h", "k", "0.9", 900, "unknown"), ("i", "k", "7", 7_000, None)]
+    df = spark.createDataFrame([(*r, "x", 1) for r in rows], "key string, source string, raw string, stored bigint, stored_basis string, note string, unit int")
+    sources = spark.createDataFrame([("k", "単位=千円"), ("k", "単位=千円"), ("y", None), (None, "千円")], "source string, note string")
+    got = units.to_base_units(df, sources).cache()
+    assert got.count() == len(rows)
+    assert {r["key"] for r in got.where(units.wrong_stored()).collect()} == {"b", "d", "e", "i"}
+    assert {r["key"]: r["unit_from"] for r in got.collect()}["g"] == "text"
+    fit = {r["key"]: (r["fitted_unit"], r["unique"]) for r in units.fit_units(got).collect()}
+    assert fit["b"] == (1, True) and fit["a"] == (1000, True) and fit["d"] == (None, None)
+    assert units.fit_units(got.where("key = 'a'").withColumn("stored", F.lit(int(4683 * 10**3.5)).cast("bigint"))).first()["unique"] is False  # halfway between 10^3 and 10^4
+    by = {r["source"]: (r["declared"], r["fitted_unit"], r["rows"]) for r in units.source_units(got).collect()}
+    assert by == {"k": (1000, 1000, 4), "y": (None, 1, 1)}
+    assert units.to_base_units(df.limit(0), sources).count() == 0 and isinstance(got.where("key = 'h'").first()["amount"], Decimal)
