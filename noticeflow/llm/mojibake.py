@@ -52,7 +52,7 @@ RUN_SCORE = 2.5
 WRONG = ("cp1252", "latin-1", "cp932", "gbk", "mac_roman", "cp1251", "euc_jp", "koi8_r", "cp437", "cp850", "cp1250", "cp949", "big5", "cp1253", "cp1254", "iso8859_15")
 RIGHT = ("utf-8", "cp932", "euc_jp")
 
-_ISO2022_RUN = regex.compile(r"\x1b?\$[@B](?:[!-~]{2})+(?:\x1b?\([BJ])?")
+_ISO2022_RUN = regex.compile(r"\x1b?\$[@B](?:(?!\x1b?\([BJ])[!-~]{2})+(?:\x1b?\([BJ])?")
 _MARKS = regex.compile(r"[�\u0080-\u009f\p{Co}\p{Cn}]")
 _HIGH = regex.compile(r"[¡-ÿŒœŠšŸŽžƒˆ˜‐-•…‰‹›€™†‡Ѐ-ӿ∂∏∑√∞∫≈≠≤≥◊Ωπıﬁﬂ˘˙˚˝˛ˇ⁄░-▟─-╬]")
 

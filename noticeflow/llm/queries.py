@@ -49,7 +49,9 @@ def p4_restored(spark: SparkSession, d: str) -> DataFrame:
 def p5_found(spark: SparkSession, d: str) -> DataFrame:
     """Pairs of an organization's tenders whose normalized titles look the same without being the same."""
     tender = read(spark, d, "tender")
-    pairs = lookalike.same_looking_pairs(tender, "natural_key", "organization_id", "title_normalized")
+    # what decoding left (controls, replacement and private-use characters) marks garbled titles, which are no cases
+    sound = ~F.col("title_normalized").rlike("[\u0080-\u0084\u0086-\u009f\ufffd\ue000-\uf8ff]")
+    pairs = lookalike.same_looking_pairs(tender, "natural_key", "organization_id", "title_normalized", keep=sound)
     return pairs.select(F.col("a").alias("natural_key_a"), F.col("b").alias("natural_key_b"))
 
 
@@ -65,13 +67,13 @@ def p8_ids(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _containers(spark: SparkSession, d: str) -> DataFrame:
-    spec = read(spark, d, "container_spec").select("container_id", "capacity_tokens", "tokenizer").collect()  # a few kinds of container
-    packed = None
+    spec = read(spark, d, "container_spec").where("tokenizer is not null").select("container_id", "capacity_tokens", "tokenizer").collect()  # a few kinds of container
+    packed = packing.pack(read(spark, d, "documents").select(F.col("doc_id").alias("id"), F.lit(0).alias("size")).limit(0), {})
     for name in sorted({r["tokenizer"] for r in spec}):
         counted = bpe.encode_column(read(spark, d, "documents"), "doc_id", "text", name, counts_only=True)
         items = materialize(counted.withColumnRenamed("tokens", "size"))
         part = packing.pack(items, {r["container_id"]: r["capacity_tokens"] for r in spec if r["tokenizer"] == name})
-        packed = part if packed is None else packed.unionByName(part)
+        packed = packed.unionByName(part)
     return packed
 
 
