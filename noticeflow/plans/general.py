@@ -142,7 +142,7 @@ def _converted(spark: SparkSession, d: str) -> DataFrame:
 
 def p7_found(spark: SparkSession, d: str) -> DataFrame:
     """Tenders whose stored price or tax basis is not what their price text states."""
-    return _converted(spark, d).where(units.wrong_stored()).select(F.col("key").alias("natural_key"))
+    return units.fit_units(_converted(spark, d)).where(units.wrong_stored()).select(F.col("key").alias("natural_key"))
 
 
 def p7_amounts(spark: SparkSession, d: str) -> DataFrame:
@@ -150,7 +150,7 @@ def p7_amounts(spark: SparkSession, d: str) -> DataFrame:
     fitted = units.fit_units(_converted(spark, d))
     return fitted.select(
         F.col("key").alias("natural_key"), F.col("amount").cast("bigint").alias("price_yen"), "basis", "undisclosed", "unit", "unit_from",
-        "fitted_unit", F.round("residual", 6).alias("residual"), F.col("unique").alias("unit_unique"),
+        "fitted_unit", "fitted_tax", F.round("residual", 6).alias("residual"), F.col("unique").alias("unit_unique"),
     )
 
 

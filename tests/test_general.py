@@ -197,11 +197,13 @@ def test_conversion(spark):
     sources = spark.createDataFrame([("k", "単位=千円"), ("k", "単位=千円"), ("y", None), (None, "千円")], "source string, note string")
     got = units.to_base_units(df, sources).cache()
     assert got.count() == len(rows)
-    assert {r["key"] for r in got.where(units.wrong_stored()).collect()} == {"b", "d", "e", "i"}
+    assert {r["key"] for r in units.fit_units(got).where(units.wrong_stored()).collect()} == {"b", "d", "e", "i"}
     assert {r["key"]: r["unit_from"] for r in got.collect()}["g"] == "text"
     fit = {r["key"]: (r["fitted_unit"], r["unique"]) for r in units.fit_units(got).collect()}
+    taxed = got.where("key = 'a'").withColumn("stored", F.lit(4_683_000 * 11 // 10).cast("bigint"))
+    assert [(r["fitted_unit"], r["fitted_tax"]) for r in units.fit_units(taxed).collect()] == [(1000, "added")]
     assert fit["b"] == (1, True) and fit["a"] == (1000, True) and fit["d"] == (None, None)
-    assert units.fit_units(got.where("key = 'a'").withColumn("stored", F.lit(int(4683 * 10**3.5)).cast("bigint"))).first()["unique"] is False  # halfway between 10^3 and 10^4
+    assert units.fit_units(got.where("key = 'a'").withColumn("stored", F.lit(int(4683 * 10**3 * 1.1**0.5)).cast("bigint"))).first()["unique"] is False  # halfway between with and without tax
     by = {r["source"]: (r["declared"], r["fitted_unit"], r["rows"]) for r in units.source_units(got).collect()}
     assert by == {"k": (1000, 1000, 4), "y": (None, 1, 1)}
     assert units.to_base_units(df.limit(0), sources).count() == 0 and isinstance(got.where("key = 'h'").first()["amount"], Decimal)
