@@ -26,7 +26,7 @@ def evaluate(organizations: DataFrame, runs: DataFrame, now: dt.datetime, window
     done = F.col("status") != "running"
     ok = F.col("status") == "ok"
     inside = ok & (F.col("target_date") >= since)
-    fields = F.struct("started_at", "id", "status", "fetched_count", "target_date")
+    fields = F.struct("started_at", "id", "status", "fetched_count", "target_date", "error_kind")
     by = runs.groupBy(F.col("organization_id").alias("id")).agg(
         F.max(F.when(done, fields)).alias("last"),
         F.max(F.when(ok, F.struct("started_at", "id", F.coalesce("finished_at", "started_at").alias("at")))).alias("good"),
@@ -52,8 +52,20 @@ def evaluate(organizations: DataFrame, runs: DataFrame, now: dt.datetime, window
         .otherwise("healthy")
     )
     told = F.col("enabled") & ~F.coalesce(status.isin("failed", "ok_empty", "disabled"), F.lit(False)) & ~F.coalesce(stale, F.lit(False)) & F.col("last").isNotNull()
+    reason = (
+        F.when(~F.col("enabled"), "機関が無効化されています")
+        .when(state == "never_run", "一度も実行されていません")
+        .when(state == "failed", F.concat(F.lit("直近の実行が失敗: "), F.coalesce("last.error_kind", F.lit("unknown"))))
+        .when(state == "empty", "正常終了したが取得0件。セレクタ空振りの可能性")
+        .when(state == "disabled", "直近の実行が無効化されていました")
+        .when(state == "stale", F.concat(elapsed_days(moment, at).cast("string"), F.lit("日間 ok が出ていません")))
+        .when(state == "warming_up", F.format_string("ベースラインのサンプル不足（%d件）", "samples"))
+        .when(state == "volume_drop", F.format_string(f"取得件数がベースラインを大きく下回りました: %d件 < 平均%.1f件 × {drop_ratio}", "last.fetched_count", "baseline_avg"))
+        .when(status == "partial", "一部ページで失敗しましたが件数は正常範囲です")
+        .otherwise("正常")
+    )
     return got.select(
-        F.col("id").alias("organization_id"), state.alias("state"), (~state.isin(*NO_ALERT)).alias("is_alert"),
+        F.col("id").alias("organization_id"), state.alias("state"), (~state.isin(*NO_ALERT)).alias("is_alert"), reason.alias("reason"),
         status.alias("last_status"), F.col("last.started_at").alias("last_run_at"), at.alias("last_success_at"),
         F.col("last.fetched_count").alias("latest_count"),
         F.when(told, F.col("baseline_avg")).alias("baseline_avg"), F.when(told, F.col("samples")).otherwise(F.lit(0)).cast("bigint").alias("baseline_samples"),

@@ -68,9 +68,20 @@ def any_changed(before: Column, after: Column, watched: tuple[str, ...] = WATCHE
     return out
 
 
-def fold(current: DataFrame, observed: DataFrame, sequence: list[str], watched: tuple[str, ...] = WATCHED) -> DataFrame:
+def _effective(state: Column, at: Column) -> Column:
+    """The state with an open status past its own deadline read as closed."""
+    over = (state["status"] == "open") & temporal.is_closed(state["bid_deadline_date"], state["bid_deadline_time"], at)
+    return state.withField("status", F.when(over, "closed").otherwise(state["status"]))
+
+
+def fold(current: DataFrame, observed: DataFrame, sequence: list[str], watched: tuple[str, ...] = WATCHED, seen_at: str | None = None) -> DataFrame:
     """Every observation with its outcome, as if applied one after another to the current state.
 
+    With ``seen_at`` (the time of the observation) a status that is closed only
+    because the deadline has passed is no change: an expired tender that stays
+    listed as open would otherwise be closed and reopened with every crawl.
+    Without it statuses are compared as they are.
+
     ``current`` and ``observed`` share natural_key and all state columns;
     ``observed`` has a total order per key in ``sequence``. An unchanged
     observation equals its predecessor in every watched field, so comparing
@@ -86,6 +97,9 @@ def fold(current: DataFrame, observed: DataFrame, sequence: list[str], watched:
     over = Window.partitionBy("natural_key").orderBy("_new", *order)
     before, state = F.lag(F.struct(*[F.col(c) for c in watched])).over(over), F.struct(*[F.col(c) for c in watched])
     seen = every.withColumn("_before", before).withColumn("_state", state).withColumn("_first", F.row_number().over(over) == 1)
+    if seen_at:
+        now = F.col(seen_at).cast("timestamp_ntz")
+        seen = seen.withColumns({"_before": F.when(F.col("_before").isNotNull(), _effective(F.col("_before"), now)), "_state": _effective(F.col("_state"), now)})
     seen = seen.withColumn("_changed", F.when(F.col("_first"), F.lit(False)).otherwise(any_changed(F.col("_before"), F.col("_state"), watched)))
     upto = over.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     base = F.coalesce(F.first("_base").over(upto), F.lit(1))

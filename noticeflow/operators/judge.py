@@ -104,6 +104,34 @@ def slice_json(text: str) -> dict:
     return json.loads(text[a : b + 1])
 
 
+#: What a remote judge is asked; the answer's form is fixed, the wording is ours.
+PROMPT = """公共調達の案件が、次の事業者に関係するかを判定してください。
+
+事業者:
+{profile}
+
+案件名:
+{title}
+
+仕様書の抜粋:
+{spec}
+
+仕様書にない条件は補わず「記載なし」としてください。次の形のJSONだけを返してください。
+{{"score": 0から100の整数, "reason": "一、二文の理由", "summary": "三行から五行の要約"}}
+"""
+
+
+def remote(ask: Callable[[str], tuple[str, int, int]]) -> Client:
+    """A client from a function prompt -> (answer, input tokens, output tokens), whatever service is behind it."""
+
+    def client(title: str, spec: str, profile: str) -> dict:
+        answer, read, written = ask(PROMPT.format(profile=profile, title=title, spec=spec))
+        body = slice_json(answer)
+        return {"score": int(body["score"]), "reason": str(body["reason"]), "summary": str(body["summary"]), "input_tokens": read, "output_tokens": written}
+
+    return client
+
+
 def call(planned: DataFrame, client: Client) -> DataFrame:
     """Answers of the planned calls, each made once and kept before use."""
 

@@ -125,12 +125,27 @@ def cascade(tenders: DataFrame, profiles: DataFrame, with_judge: bool) -> DataFr
     stage = F.when(~promoted, 1).otherwise(2)
     points = F.when(F.col("hard_excluded"), 0).when(~promoted, F.when(hit, KEYWORD_SCORE).otherwise(0)).otherwise(rule_score(hit, F.col("similarity")))
     by = F.when(F.col("hard_excluded"), "none").when(hit, "rule").when(promoted, "vector").otherwise("none")
-    return staged.select(
-        "natural_key", "company_id", "title", "spec_text", stage.alias("stage"), points.cast("int").alias("score"), by.alias("matched_by"),
+    return staged.withColumn("reason", _reason(stage)).select(
+        "natural_key", "company_id", "title", "reason", "spec_text", stage.alias("stage"), points.cast("int").alias("score"), by.alias("matched_by"),
         (~F.col("hard_excluded") & (hit | F.col("promote_2"))).alias("should_notify"), "keyword_hit", "matched_keywords", F.col("similarity"), "best_match", "to_judge",
     )
 
 
+def _reason(stage: Column) -> Column:
+    """Why a pair stands where it stands, in words."""
+    excluding = F.filter("ng_keywords", lambda k, i: F.contains(F.col("title_form"), F.get(F.col("ng_keywords_form"), i)))
+    outside = ~((F.size("prefectures") == 0) | F.col("prefecture_code").isNull() | F.array_contains("prefectures", F.col("prefecture_code")))
+    parts = F.concat_ws(
+        "; ",
+        F.when(F.col("keyword_hit"), F.concat(F.lit("キーワード一致: "), F.array_join("matched_keywords", "/"))),
+        F.when(outside, F.concat(F.lit("対応エリア外: "), F.col("prefecture_code"))),
+        F.when(~in_range(F.col("amount"), F.col("price_min"), F.col("price_max")), F.concat(F.lit("金額レンジ外: "), F.col("amount").cast("string"))),
+    )
+    rules = F.when(F.col("hard_excluded"), F.concat(F.lit("NGキーワード: "), F.array_join(excluding, "/"))).otherwise(F.coalesce(F.nullif(parts, F.lit("")), F.lit("条件に該当せず")))
+    similar = F.concat(F.format_string("; 案件名類似度 %.2f", "similarity"), F.coalesce(F.concat(F.lit("（"), F.col("best_match"), F.lit("）")), F.lit("")), F.when(F.col("promote_2"), "").otherwise(" < 閾値"), F.when(F.col("spec_text").isNull(), " / 仕様書テキストなし").otherwise(""))
+    return F.when(stage == 1, rules).otherwise(F.concat(rules, similar))
+
+
 def apply_verdicts(decided: DataFrame, verdicts: DataFrame) -> DataFrame:
     """Decisions with the judge's verdicts (natural_key, company_id, verdict_score, input_tokens, output_tokens, cache_hit, cost_jpy).
 

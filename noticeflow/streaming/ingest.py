@@ -28,7 +28,7 @@ def ingest_stream(raw: DataFrame, store: Store, checkpoint: str, sequence: str =
                 return
         typed, _ = ingest.quarantine(ingest.normalize(batch))
         order = [sequence, "source_url"]
-        folded = ingest.fold(store.read("tender"), typed, order).cache()
+        folded = ingest.fold(store.read("tender"), typed, order, seen_at=sequence).cache()
         store.append("tender_revision", ingest.history(folded, sequence), f"epoch-{epoch}-v{version}")
         store.replace("tender", ingest.merge(store.read("tender"), folded, order, sequence))
         folded.unpersist()
