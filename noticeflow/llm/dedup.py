@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from noticeflow.llm.lookalike import fold
+from noticeflow.storage import materialize
 
 EDITS = 2
 SHORT = 6
@@ -212,7 +213,8 @@ def repeats(batch: DataFrame, entries: DataFrame, keys: DataFrame, index: DataFr
     """
     by_key = batch.where("key is not null").join(keys, "key").where("first < order").select("id")
 
-    probes = batch.where("group is not null").select("id", "order", "group", "day", F.explode("wordings").alias("wording"))
+    # read by the index probe and by the look-up of entries, so titles are read once
+    probes = materialize(batch.where("group is not null").select("id", "order", "group", "day", F.explode("wordings").alias("wording")))
     dated = entries.select("group", F.col("wording").alias("other"), F.coalesce(_bin(F.col("day")), F.lit(_NONE)).alias("bin"), F.col("day").alias("other_day"), "first")
     whole = entries.groupBy("group", "wording").agg(F.min("first").alias("first"))
     whole = whole.select("group", F.col("wording").alias("other"), F.lit(_ALL).alias("bin"), F.lit(None).cast("date").alias("other_day"), "first")
