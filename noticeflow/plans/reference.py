@@ -54,7 +54,7 @@ WITH r AS {_RUNS},
                           WHEN fetched_count < a * 0.5 THEN 'volume_drop' ELSE 'healthy' END AS state FROM x)
 SELECT id AS organization_id, state, state NOT IN ('healthy', 'warming_up') AS is_alert, status AS last_status, started_at AS last_run_at, moment AS last_success_at,
        fetched_count AS latest_count, CASE WHEN state IN ('warming_up', 'volume_drop', 'healthy') THEN round(a, 6) END AS baseline_avg,
-       CASE WHEN state IN ('warming_up', 'volume_drop', 'healthy') THEN n ELSE 0 END AS baseline_samples, datesub('day', moment, {_NOW}) AS days_since_success
+       CASE WHEN state IN ('warming_up', 'volume_drop', 'healthy') THEN n ELSE 0 END AS baseline_samples, CAST(floor(epoch({_NOW} - moment) / 86400) AS BIGINT) AS days_since_success
 FROM s""")
 def r_health(spark: SparkSession, d: str) -> DataFrame:
     """State of every source from the run log."""
