@@ -20,12 +20,14 @@ in time linear in their length.
 
 from __future__ import annotations
 
+import re
 import unicodedata
+from collections import Counter
 from collections.abc import Iterable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -38,21 +40,25 @@ VERBAL_EN = "is are was were be been being will would shall should must may migh
 # English words that both sentences and names of things have.
 LINKING_EN = "the a an of and or to in on for with no all any each every other such"
 
-_ENDINGS = regex.compile("|".join(sorted(ENDINGS_JA.split(), key=len, reverse=True)))
+#: Han characters and their iteration mark, as a character class.
+_HAN = r"⺀-⿟々〇〡-〩〸-〻㐀-䶿一-鿿豈-﫿\U00020000-\U000323af"
+_ENDINGS = re.compile("|".join(sorted(ENDINGS_JA.split(), key=len, reverse=True)))
 _VERBAL = frozenset(VERBAL_EN.split())
 _LINKING = frozenset(LINKING_EN.split())
-_KANA_KANJI = regex.compile(r"[ぁ-ゖァ-ヺー々〇\p{Han}]")
-_WORD = regex.compile(r"[A-Za-zÀ-ɏ]+(?:['’][a-z]+)?|\d+|[ァ-ヺー]+|[\p{Han}々]+|[ぁ-ゖ]+")
-_EN_WORD = regex.compile(r"(?<![A-Za-z])[A-Za-z]+(?:['’][a-z]+)?(?![A-Za-z])")
-_LINE = regex.compile(r"\r\n|[\n\r\v\f\x1c-\x1e\x85  ]")
-_SENTENCE = regex.compile(r"[^。．！？!?.]*(?:[。．！？!?]+|\.(?=\s|$)|\.(?!\s)|$)[」』）)\"']*")
-_STOP = regex.compile(r"[。．！？!?.:：]['\"」』）)]*$")
+_KANA_KANJI = re.compile(rf"[ぁ-ゖァ-ヺー{_HAN}]")
+_WORD = re.compile(rf"[A-Za-zÀ-ɏ]+(?:['’][a-z]+)?|\d+|[ァ-ヺー]+|[{_HAN}]+|[ぁ-ゖ]+")
+_EN_WORD = re.compile(rf"(?<![A-Za-z])[A-Za-z]+(?:['’][a-z]+)?(?![A-Za-z])")
+_LINE = re.compile(r"\r\n|[\n\r\v\f\x1c-\x1e\x85  ]")
+_ODD_LINE = re.compile(r"[\r\v\f\x1c-\x1e\x85\u2028\u2029]")
+_SENTENCE = re.compile(r"[^。．！？!?.]*(?:[。．！？!?]+|\.(?=\s|$)|\.(?!\s)|$)[」』）)\"']*")
+_STOPS = frozenset("。．！？!?.:：")
 #: What begins an item or a clause; such a line is not the rest of the one before.
-_MARK = regex.compile(r"^(?:[・●○◆◇■□▪▫◦*•\-–—+>※☐✓]|\(?\p{N}{1,3}[).:、．]|（\p{N}{1,3}）|[①-⓿]|第\p{N}+[条章節項]|[アイウエオカキクケコサシスセソタチツテトナニヌネノハヒフヘホマミムメモヤユヨラリルレロワ][\s　)）.、]|[a-zA-Z][).]|[QA問答]\p{N}*[:：.]|\p{N}{1,3}[\s　])")
-_CELLS = regex.compile(r"\t|[|│｜┃]|</?t[dhr][ >]|[─━├┼┤┌┬┐└┴┘═]|(?<=\S)(?: {2,}|　{2,})(?=\S)")
-_MARKUP = regex.compile(r"[{}<>]|\b\w+=\S|\(cid:\d+\)|[;]\s*\w+:")
-_BETWEEN = regex.compile(r"[、，,;；/／・]")
-_REPEAT = regex.compile(r"(.{1,24}?)\1{3,}")
+_MARK = re.compile(r"^(?:[・●○◆◇■□▪▫◦*•\-–—+>※☐✓]|\(?[\d①-⓿]{1,3}[).:、．]|（[\d①-⓿]{1,3}）|[①-⓿]|第\d+[条章節項]|[アイウエオカキクケコサシスセソタチツテトナニヌネノハヒフヘホマミムメモヤユヨラリルレロワ][\s　)）.、]|[a-zA-Z][).]|[QA問答]\d*[:：.]|[\d①-⓿]{1,3}[\s　])")
+_CELLS = re.compile(r"\t|[|│｜┃]|</?t[dhr][ >]|[─━├┼┤┌┬┐└┴┘═]|(?<=\S)(?: {2,}|　{2,})(?=\S)")
+_CELL = re.compile(r"[\t|│｜┃<─━├┼┤┌┬┐└┴┘═]|  |　　")
+_MARKUP = re.compile(r"[{}<>]|\b\w+=\S|\(cid:\d+\)|[;]\s*\w+:")
+_PARAGRAPH = re.compile(r"(?:\r\n|\n|\r)\s*(?:\r\n|\n|\r)")
+_BETWEEN = re.compile(r"[、，,;；/／・]")
 
 
 class _Classes(dict):
@@ -75,6 +81,18 @@ class _Classes(dict):
 _CLASSES = _Classes()
 
 
+def _lines(text: str) -> list[str]:
+    return _LINE.split(text) if _ODD_LINE.search(text) else text.split("\n")
+
+
+def _ended(line: str) -> bool:
+    return line.rstrip("'\"」』）)")[-1:] in _STOPS and line != ""
+
+
+def _has_cells(line: str) -> bool:
+    return _CELL.search(line) is not None and len(_CELLS.findall(line)) >= 2
+
+
 def visible(s: str) -> int:
     """Characters that are neither blank nor control nor format characters."""
     classes = s.translate(_CLASSES)
@@ -83,29 +101,39 @@ def visible(s: str) -> int:
 
 def is_sentence(s: str) -> bool:
     """Whether a stretch is built like a sentence of Japanese or English."""
+    return sentence_length(s) > 0
+
+
+def sentence_length(s: str) -> int:
+    """Visible characters of a stretch that is built like a sentence, else 0."""
     classes = s.translate(_CLASSES)
     seen = len(classes) - classes.count(" ")
     if seen < 8:
-        return False
+        return 0
     hiragana = classes.count("h")
     kana_kanji = hiragana + classes.count("c")
     if kana_kanji * 3 >= seen:
         if hiragana < 4 or hiragana * 7 < kana_kanji or classes.count("s") * 4 >= seen:
-            return False
+            return 0
         covered = sum(map(len, _ENDINGS.findall(s)))
         if covered < hiragana * COVER:
-            return False
+            return 0
+        varied = len(set(s)) * 3 >= len(s)
     else:
         words = [w.lower() for w in _EN_WORD.findall(s)]
         if len(words) < 5 or sum(map(len, words)) * 10 < seen * 6:
-            return False
+            return 0
         if sum(len(w) > 1 for w in words) * 10 < len(words) * 8 or len(_BETWEEN.findall(s)) * 4 > len(words):
-            return False
+            return 0
         verbal = sum(w in _VERBAL for w in words)
-        if (verbal + sum(w in _LINKING for w in words)) * 5 < len(words) or not verbal and (len(words) < 9 or not _STOP.search(s.rstrip())):
-            return False
-    repeated = sum(len(m[0]) for m in _REPEAT.finditer(s))
-    return repeated * 2 <= len(s) and len(_MARKUP.findall(s)) * 20 <= seen
+        varied = len(set(words)) * 2 >= len(words)
+        if (verbal + sum(w in _LINKING for w in words)) * 5 < len(words) or not verbal and (len(words) < 9 or not _ended(s.rstrip())):
+            return 0
+    if any(c in s for c in "={}<>;") or "(cid:" in s:
+        if len(_MARKUP.findall(s)) * 20 > seen:
+            return 0
+    # what repeats itself has few different pieces
+    return seen if varied or len({s[i : i + 4] for i in range(len(s) - 3)}) * 2 >= len(s) - 3 else 0
 
 
 #: Share of a sentence's hiragana that endings and connectives must cover.
@@ -122,13 +150,13 @@ def blocks(lines: Iterable[str]) -> Iterator[tuple[str, bool]]:
                 yield held, False
             held = ""
             continue
-        if len(_CELLS.findall(bare)) >= 2 and not is_sentence(_CELLS.sub(" ", bare)):
+        if _has_cells(bare) and not is_sentence(_CELLS.sub(" ", bare)):
             if held:
                 yield held, False
             held = ""
             yield bare, True
             continue
-        if held and (_MARK.match(bare) or _STOP.search(held)):
+        if held and (_MARK.match(bare) or _ended(held)):
             yield held, False
             held = bare
         elif held:
@@ -143,13 +171,12 @@ def blocks(lines: Iterable[str]) -> Iterator[tuple[str, bool]]:
 def prose_share(text: str, total: int) -> float:
     """Share of the ``total`` visible characters that lie in sentences."""
     prose = 0
-    for block, cells in blocks(_LINE.split(text)):
+    for block, cells in blocks(_lines(text)):
         if cells:
             continue
         for m in _SENTENCE.finditer(block):
-            s = m[0]
-            if s and is_sentence(s):
-                prose += visible(s)
+            if m[0]:
+                prose += sentence_length(m[0])
     return prose / total
 
 
@@ -196,15 +223,14 @@ def statistics(text: str | None, common: dict[str, frozenset[str]]) -> tuple:
     seen = len(classes) - classes.count(" ")
     if not seen:
         return (0, 0, None, None, None, None, None, None, None, None, "empty")
-    lines = [x.strip() for x in _LINE.split(text)]
+    lines = [x.strip() for x in _lines(text)]
     lines = [x for x in lines if x]
-    paragraphs = [p for p in (x.strip() for x in regex.split(r"(?:\r\n|\n|\r)\s*(?:\r\n|\n|\r)", text)) if p]
+    paragraphs = [p for p in (x.strip() for x in _PARAGRAPH.split(text)) if p] if len(lines) > 1 else lines
     words = _WORD.findall(text)
-    lower = [w.lower() for w in words]
-    shared = sum(w in common["en"] for w in lower) + sum(_ja_common(w, common["ja"]) for w in words if "ぁ" <= w[0] <= "ゖ")
+    shared = sum(n for w, n in Counter(words).items() if (_ja_common(w, common["ja"]) if "ぁ" <= w[0] <= "ゖ" else w.lower() in common["en"]))
     share = prose_share(text, seen)
     duplicate, dominant = duplicate_share(lines), dominant_run(text)
-    cells = sum(len(x) for x in lines if len(_CELLS.findall(x)) >= 2)
+    cells = sum(len(x) for x in lines if _has_cells(x))
     symbols = classes.count("s") / seen
     if share >= 0.5:
         label = "prose"
@@ -218,12 +244,13 @@ def statistics(text: str | None, common: dict[str, frozenset[str]]) -> tuple:
         len(words), len(lines),
         sum(map(len, words)) / len(words) if words else 0.0,
         symbols,
-        sum(bool(_STOP.search(x)) for x in lines) / len(lines),
+        sum(map(_ended, lines)) / len(lines),
         shared / len(words) if words else 0.0,
         duplicate, duplicate_share(paragraphs), dominant, share, label,
     )
 
 
+@lru_cache(1 << 16)
 def _ja_common(word: str, common: frozenset[str]) -> bool:
     """Whether a stretch of hiragana is or ends in a common word."""
     return any(word[-k:] in common for k in range(1, min(len(word), 6) + 1))
