@@ -75,14 +75,21 @@ def probe(old: DataFrame, new: DataFrame) -> DataFrame:
     return a.join(b, "key", "full_outer").select("key", kind.alias("change_kind")).where("change_kind is not null")
 
 
-def probe_generations(index: DataFrame, generation: str) -> DataFrame:
+def generations_of(df: DataFrame, key: str, generation: str) -> DataFrame:
+    """(generation) of a table, one row each, from two of its columns."""
+    return df.where(F.col(key).isNotNull() & F.col(generation).isNotNull()).select(generation).distinct()
+
+
+def probe_generations(index: DataFrame, generation: str, generations: DataFrame) -> DataFrame:
     """(generation, key, change_kind) of every generation against the one before it.
 
-    ``index`` is (generation, key, hash). The list of generations is one row per
-    snapshot delivered, not per record; it reaches the tasks by a join.
+    ``index`` is (generation, key, hash); ``generations`` (generations_of) is one
+    row per snapshot delivered, not per record, and reaches the tasks by a join.
+    It comes from the table rather than from the index, whose hashes would
+    otherwise be computed for it once more.
     """
     # lag over one row per snapshot (a few a month): the only unpartitioned window, of that bounded list.
-    every = index.select(F.col(generation).alias("g")).where(F.col("g").isNotNull()).distinct()
+    every = generations.select(F.col(generation).alias("g"))
     over = Window.partitionBy(F.lit(0)).orderBy("g")
     steps = every.select("g", F.lag("g").over(over).alias("before"), F.lead("g").over(over).alias("after"))
     entries = index.join(steps, index[generation] == steps["g"]).select("g", "before", "after", "key", "hash")

@@ -11,20 +11,25 @@ from noticeflow.storage import read
 WATCHED = ("status", "bid_deadline_date", "bid_deadline_time", "application_deadline_date")
 
 
+def _changes(rows: DataFrame) -> DataFrame:
+    index = snapshot_diff.index_rows(rows.where("snapshot_date is not null"), "natural_key", WATCHED, "delivered_at", by=["snapshot_date"])
+    return snapshot_diff.probe_generations(index, "snapshot_date", snapshot_diff.generations_of(rows, "natural_key", "snapshot_date"))
+
+
+def _snapshots(spark: SparkSession, d: str) -> DataFrame:
+    return read(spark, d, "tender_snapshot").select("snapshot_date", "natural_key", "delivered_at", *WATCHED)
+
+
 def p1_found(spark: SparkSession, d: str) -> DataFrame:
     """Added, removed and changed notices of every snapshot against the one before."""
-    rows = read(spark, d, "tender_snapshot").select("snapshot_date", "natural_key", "delivered_at", *WATCHED)
-    index = snapshot_diff.index_rows(rows, "natural_key", WATCHED, "delivered_at", by=["snapshot_date"])
-    changes = snapshot_diff.probe_generations(index.where("snapshot_date is not null"), "snapshot_date")
+    changes = _changes(_snapshots(spark, d))
     return changes.select(F.date_format("snapshot_date", "yyyy-MM-dd").alias("snapshot_date"), F.col("key").alias("natural_key"), "change_kind")
 
 
 def p1_values(spark: SparkSession, d: str) -> DataFrame:
     """Old and new watched values of the changed notices only."""
-    rows = read(spark, d, "tender_snapshot").select("snapshot_date", "natural_key", "delivered_at", *WATCHED)
-    index = snapshot_diff.index_rows(rows, "natural_key", WATCHED, "delivered_at", by=["snapshot_date"])
-    changes = snapshot_diff.probe_generations(index.where("snapshot_date is not null"), "snapshot_date")
-    got = snapshot_diff.changed_values(rows, changes, "natural_key", "snapshot_date", "delivered_at", WATCHED)
+    rows = _snapshots(spark, d)
+    got = snapshot_diff.changed_values(rows, _changes(rows), "natural_key", "snapshot_date", "delivered_at", WATCHED)
     return got.withColumn("snapshot_date", F.date_format("snapshot_date", "yyyy-MM-dd")).withColumnRenamed("key", "natural_key")
 
 

@@ -53,7 +53,7 @@ def test_changes(spark, seed, n):
             seen |= {(r[0], r[2])} if r[1] is None else set()
     df = spark.createDataFrame(rows, SNAP)
     index = snapshot_diff.index_rows(df, "natural_key", ("status", "n"), "delivered_at", by=["snapshot_date"]).where("snapshot_date is not null")
-    got = snapshot_diff.probe_generations(index, "snapshot_date")
+    got = snapshot_diff.probe_generations(index, "snapshot_date", snapshot_diff.generations_of(df, "natural_key", "snapshot_date"))
     assert {tuple(r) for r in got.collect()} == brute_changes(rows) and got.count() == len(brute_changes(rows))
     values = snapshot_diff.changed_values(df, got, "natural_key", "snapshot_date", "delivered_at", ("status", "n")).collect()
     assert len(values) == sum(c == "changed" for *_, c in brute_changes(rows))
