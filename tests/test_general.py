@@ -127,6 +127,13 @@ def test_stuck(spark):
     assert set(range(20, 27)) <= found(spark, twice)
 
 
+@pytest.mark.parametrize("n", [1, 2, 5, 40, 200])
+def test_running_median(n):
+    x = np.random.default_rng(n).normal(size=n)
+    for reach in (1, 4, 16):
+        assert np.allclose(spikes._smooth(x, reach), [np.median(x[max(0, i - reach) : i + reach + 1]) for i in range(n)])
+
+
 def test_wavelet_sums_to_the_series():
     x = np.log1p(np.array([random.Random(1).randrange(100) for _ in range(77)], float))
     details, rest = spikes.median_wavelet(x)
