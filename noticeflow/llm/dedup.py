@@ -261,7 +261,8 @@ class AcceptedIndex:
     def judge(self, batch: DataFrame, part: str) -> DataFrame:
         """Ids of the batch's rows that repeat an accepted one or an earlier one of the batch; then the batch is appended."""
         self.append(batch, part)
-        segments_ = self._read("segments", "group string, wording string, key bigint").distinct()
-        entries = self._read("entries", f"group string, wording string, day date, first {self._ORDER}").groupBy("group", "wording", "day").agg(F.min("first").alias("first"))
-        keys = self._read("keys", f"key string, first {self._ORDER}").groupBy("key").agg(F.min("first").alias("first"))
+        # parts may repeat a wording or key of others: that repeats a finding, which repeats() makes distinct
+        segments_ = self._read("segments", "group string, wording string, key bigint")
+        entries = self._read("entries", f"group string, wording string, day date, first {self._ORDER}")
+        keys = self._read("keys", f"key string, first {self._ORDER}")
         return repeats(batch, entries, keys, segments_)
