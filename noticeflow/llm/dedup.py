@@ -53,6 +53,7 @@ def _any(phrases: str) -> str:
 
 _OUT = regex.compile(rf"[\s【】「」『』()\[\]〔〕<>〈〉《》]|(?:令和|平成|R|H)(?:\d{{1,2}}|元)年度|\d{{4}}年度|{_any(BEFORE)}|{_any(AMID)}|(?:{_any(AFTER)})$")
 _SETS = regex.compile("設備機器")
+_AND = regex.compile("及び|および|並びに|ならびに")
 _LOT = regex.compile(r"(?:その\d+|第\d+(?:回|期|[工エ]区)|\d+号機|[A-Z]地区)+$")
 
 
@@ -74,13 +75,15 @@ def wordings(title: str | None) -> list[str]:
         s, before = _OUT.sub("", s), s
         if s == before:
             break
-    s = _SETS.sub("設備", s)
+    s = _AND.sub("と", _SETS.sub("設備", s))
     lot = _LOT.search(s)
     stem, tail = (s[: lot.start()], lot[0]) if lot else (s, "")
     plain = _work(stem.replace("・", "")) + tail
     if not plain:
         return []
     found = [plain]
+    if stem.endswith("業務") and len(stem) > SHORT:  # works, purchases and the like are at times called a service on top
+        found.append(stem.replace("・", "")[:-2] + tail)
     if stem.count("・") == 1:
         first, second = stem.split("・")
         if first and second and (turned := second + _work(first) + tail) != plain:

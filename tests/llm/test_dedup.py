@@ -10,7 +10,7 @@ BASE = "鶴荻槙土木事務所本館火災報知設備構築業務委託"
 SAME = [
     (BASE, "【入札公告】令和8年度 鶴荻槙土木事務所本館火災報知設備構築業務委託について"), (BASE, "鶴荻槙土木事務所本館火災報知設備の構築業務委託"), (BASE, "鶴荻槙土木事務所本館火災知設備構築業務委託"), (BASE, "鶴荻槙土木事務所本館火報災知設備構築業務委託"),
     (BASE, BASE + "一式"), (BASE, BASE + "再公告"), (BASE, "物品役務" + BASE), (BASE, "鶴荻槙土木事務所における本館火災報知設備構築業務委託"), (BASE, "鶴荻槙土木事務所本館火災報知設備構築業務"), (BASE, "鶴荻槙土木事務所本館火災報知設備構築委託業務"),
-    (BASE, "火災報知設備構築業務委託・鶴荻槙土木事務所本館"), ("塚桜狐清掃工場北棟植栽修繕その1", "植栽修繕・塚桜狐清掃工場北棟その1"), ("空調設備修繕工事", "空調設備機器修繕工事"), ("崎霧桜消防署改修工事", "崎霧桜消防署改修工亊"), ("ﾄｲﾚ改修工事 南棟", "トイレ改修工事南棟"),
+    (BASE, "火災報知設備構築業務委託・鶴荻槙土木事務所本館"), ("塚桜狐清掃工場北棟植栽修繕その1", "植栽修繕・塚桜狐清掃工場北棟その1"), ("空調設備修繕工事", "空調設備機器修繕工事"), ("崎霧桜消防署改修工事", "崎霧桜消防署改修工亊"), ("ﾄｲﾚ改修工事 南棟", "トイレ改修工事南棟"), ("星竹潮福祉センター更新工事その2", "星竹潮福祉センター更新工事業務その2"), ("笹鹿狐市民会館机及び椅子購入", "笹鹿狐市民会館机と椅子購入"),
 ]
 OTHER = [(BASE, BASE + "その2"), (BASE, BASE.replace("本館", "別館")), (BASE, BASE.replace("本館", "")), (BASE, BASE.replace("構築", "管理")), ("道路管理業務委託", "道路監理業務委託"), (BASE + "その1", BASE + "その2"), (BASE + "第1期", BASE + "第1回"), (BASE + "A地区", BASE + "B地区"), (BASE, BASE.replace("鶴荻槙", "鶴荻星")), ("道路1", "道路")]
 
