@@ -15,7 +15,7 @@ from noticeflow import schemas
 from noticeflow.functions import identity, money, temporal, text, urls
 from noticeflow.operators import data_health, digest, health, ingest, judge, lifecycle, match, metrics, runs
 from noticeflow.sources import html_listing
-from noticeflow.storage import read
+from noticeflow.storage import read, spread
 
 NOW = dt.datetime(2026, 8, 29, 9, 0)
 _NOW = "TIMESTAMP '2026-08-29 09:00:00'"
@@ -192,7 +192,7 @@ def r_titles(spark: SparkSession, d: str) -> DataFrame:
 @_query()
 def r_dates(spark: SparkSession, d: str) -> DataFrame:
     """Every date written in a document, and its deadline reading."""
-    t = read(spark, d, "documents").select("doc_id", "text")
+    t = spread(read(spark, d, "documents").select("doc_id", "text"))
     return t.withColumn("deadline", temporal.parse_deadline("text")).select("doc_id", F.col("deadline.date").alias("earliest"), F.col("deadline.time").alias("time"), F.col("deadline.ambiguous").alias("ambiguous"), F.coalesce(F.size(temporal.find_dates(F.col("text"))), F.lit(0)).alias("dates"))
 
 
