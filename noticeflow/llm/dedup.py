@@ -10,8 +10,9 @@ edits are: one character too many, too few, or two swapped is the same wording,
 one in place of another is not. Then the segments of the batch are appended.
 
 A wording is a title in its look-alike form without boilerplate, blanks and year;
-a title whose halves were set in the other order around a middle dot has both
-orders as wordings. Wordings, not rows, are indexed and compared: a title that a
+a title whose halves can have been set in the other order, at a middle dot or
+where words that end a procurement stand within it, has both orders as wordings.
+Wordings, not rows, are indexed and compared: a title that a
 third of all rows carry is one entry. Rows meet their wordings' entries again by
 date: entries are (wording, date, first arrival), and a row looks up the entries
 of the 15-day bins around its own date.
@@ -44,6 +45,9 @@ AMID = "一式の調達 の調達 一式 再度公告 再公告 公告 訂正 
 # Variants of one character, the usual form last.
 VARIANTS = "亊事 髙高 﨑崎 嵜崎 邊辺 邉辺 齋斎 齊斉 廣広 學学 國国 會会 體体 圖図 舘館 櫻桜 瀧滝 澤沢 濱浜 德徳 點点 縣県 淸清 冝宜"
 
+# Words that end the name of a procurement; what follows them was set behind it.
+ENDINGS = "工事 業務委託 委託業務 業務 委託 事業 購入 買入 買入れ 調達 賃貸借 借上 借上げ 借入 借入れ リース 修繕 点検整備 製造 印刷 売却 売払 売払い"
+
 _VARIANTS = str.maketrans({a: b for a, b in VARIANTS.split()})
 
 
@@ -57,6 +61,16 @@ _AND = regex.compile("及び|および|並びに|ならびに")
 _LOT = regex.compile(r"(?:その\d+|第\d+(?:回|期|[工エ]区)|\d+号機|[A-Z]地区)+$")
 
 
+def _slips(word: str) -> set[str]:
+    """A word as it is and with one slip, as far as the slip leaves more than one character of it."""
+    inner = range(1, len(word))
+    shorter = {word[:i] + word[i + 1 :] for i in range(len(word))} if len(word) > 2 else set()
+    return {word, *shorter, *(word[: i - 1] + word[i] + word[i - 1] + word[i + 1 :] for i in inner), *(word[:i] + "の" + word[i:] for i in inner)}
+
+
+_ENDS = regex.compile(rf"(?:((?:{'|'.join(sorted({regex.escape(x) for e in ENDINGS.split() for x in _slips(fold(e))}, key=lambda x: (-len(x), x)))})[等他]?))+")
+
+
 def _work(stem: str) -> str:
     """Commissioned work written in full, in whichever of its short or turned forms it ends."""
     if stem.endswith("委託業務"):
@@ -68,6 +82,16 @@ def _work(stem: str) -> str:
     return stem
 
 
+def _orders(stem: str) -> list[str]:
+    """A title without its middle dots, as it stands and turned at each seam that it has."""
+    cuts = {i for i, ch in enumerate(stem) if ch == "・"}
+    for run in _ENDS.finditer(stem):
+        if run.end() < len(stem):
+            cuts.update(run.ends(1))
+    turned = [stem[i:] + stem[:i] for i in sorted(cuts)]
+    return list(dict.fromkeys(x.replace("・", "") for x in [stem, *turned]))
+
+
 def wordings(title: str | None) -> list[str]:
     """The forms under which a title is compared, the plain one first."""
     s = (fold(title) or "").translate(_VARIANTS)
@@ -78,17 +102,13 @@ def wordings(title: str | None) -> list[str]:
     s = _AND.sub("と", _SETS.sub("設備", s))
     lot = _LOT.search(s)
     stem, tail = (s[: lot.start()], lot[0]) if lot else (s, "")
-    plain = _work(stem.replace("・", "")) + tail
-    if not plain:
-        return []
-    found = [plain]
-    if stem.endswith("業務") and len(stem) > SHORT:  # works, purchases and the like are at times called a service on top
-        found.append(stem.replace("・", "")[:-2] + tail)
-    if stem.count("・") == 1:
-        first, second = stem.split("・")
-        if first and second and (turned := second + _work(first) + tail) != plain:
-            found.append(turned)
-    return found
+    found: dict[str, None] = {}
+    for order in _orders(stem):
+        if whole := _work(order) + tail:
+            found[whole] = None
+        if order.endswith("業務") and len(order) > SHORT:  # works, purchases and the like are at times called a service on top
+            found[order[:-2] + tail] = None
+    return list(found)
 
 
 def same_wording(a: str, b: str) -> bool:

@@ -29,6 +29,33 @@ def test_other(a, b):
     assert not named_alike(a, b)
 
 
+TURNED = [
+    ("塚野鷹保育園監視カメラ設置工事", "監視カメラ設置工事塚野鷹保育園"), ("芦瀬波スポーツ公園東側PC端末購入", "東側PC端末購入芦瀬波スポーツ公園"), ("萩波椿土木事務所地下階トイレ監理業務委託", "【一般競争入札】地下階トイレ監理業務委託業務萩波椿土木事務所に係る公告"), ("萩波椿土木事務所トイレ監理業務委託", "トイレ監理業務萩波椿土木事務所"),
+    ("霞泉栗小学校北棟昇降機借上げ", "北棟昇降機借上げ業務霞泉栗小学校"), ("磯泉鷺図書館地下階屋上防水調査業務委託第2回", "地下階屋上防水調査業務委託磯泉鷺図書館第2回"), ("丘藤森水族館受変電設備点検整備", "受変電設備点検整備丘藤森水族舘"), ("萩岡雪港湾事務所外壁調査業務委託", "外壁調査業務託萩岡雪港湾事務所"),
+    ("星竹潮市民会館空調設備更新工事", "空調設備更新工事等・星竹潮市民会館"), ("机・椅子購入鶴荻槙小学校", "鶴荻槙小学校・机・椅子購入"), ("竹森原工事事務所道路台帳修繕工事", "道路台帳修繕工事竹森原工事事務所"),
+]
+
+
+@pytest.mark.parametrize(("a", "b"), TURNED)
+def test_turned_without_one_middle_dot(a, b):
+    assert named_alike(a, b) and named_alike(b, a)
+    assert not named_alike(a + "その1", b + "その2")
+
+
+@pytest.mark.parametrize("b", ["監視カメラ設置工事塚野星保育園", "監視カメラ撤去工事塚野鷹保育園", "北棟監視カメラ設置工事塚野鷹保育園", "監視カメラ設置工事塚野鷹保育園その2"])
+def test_turned_but_other(b):
+    assert not named_alike("塚野鷹保育園監視カメラ設置工事", b)
+
+
+def test_turned_repeat_is_found(spark):
+    day = dt.date(2026, 6, 13)
+    old = prepared(spark, [(1, 0, "a", "o", "塚野鷹保育園監視カメラ設置工事", day, "w", "k", 0)], True)
+    new = prepared(spark, [(2, 1, "b", "o", "監視カメラ設置工事塚野鷹保育園", day, "w", "k", 0), (3, 1, "c", "o", "監視カメラ撤去工事塚野鷹保育園", day, "w", "k", 0)], False)
+    every = old.unionByName(new)
+    entries = dedup.entries_of(every)
+    assert [r["id"] for r in dedup.repeats(new, entries, dedup.first_keys(every), dedup.segment_index(entries)).collect()] == [2]
+
+
 def test_wording_edges():
     assert dedup.wordings(None) == dedup.wordings("") == dedup.wordings("【】") == []
     assert len(dedup.wordings("・")) == 0 and len(dedup.wordings("甲・乙")) == 2
