@@ -6,7 +6,9 @@ built like a sentence: function words and endings in an order that language
 has, enough words, not a repetition of itself, not cells. Everything else is a
 list item, a table row or junk. The verdict goes by the share of visible
 characters in prose, so a heading, a short list or a short table does not make
-prose a list, and a lead-in sentence does not make a list prose.
+prose a list, and a lead-in sentence does not make a list prose. A text more than
+half of which repeats itself, in lines, in paragraphs or in one run, is a filler
+and no prose, however well its sentences are built.
 
 Statistics per document: words, mean word length, symbol ratio, share of lines
 that end in punctuation, share of common words (``common_word``), and repetition:
@@ -229,14 +231,15 @@ def statistics(text: str | None, common: dict[str, frozenset[str]]) -> tuple:
     words = _WORD.findall(text)
     shared = sum(n for w, n in Counter(words).items() if (_ja_common(w, common["ja"]) if "ぁ" <= w[0] <= "ゖ" else w.lower() in common["en"]))
     share = prose_share(text, seen)
-    duplicate, dominant = duplicate_share(lines), dominant_run(text)
+    duplicate, again, dominant = duplicate_share(lines), duplicate_share(paragraphs), dominant_run(text)
+    repeated = max(duplicate, again, dominant - 16 / len(text)) > 0.5  # a run's first time is no repetition; it has 16 characters at most
     cells = sum(len(x) for x in lines if _has_cells(x))
     symbols = classes.count("s") / seen
-    if share >= 0.5:
+    if share >= 0.5 and not repeated:
         label = "prose"
     elif cells * 2 > sum(map(len, lines)):
         label = "table"
-    elif duplicate > 0.5 or dominant > 0.5 or symbols > 0.35 or _junk(text, lines, words, seen):
+    elif repeated or dominant > 0.5 or symbols > 0.35 or _junk(text, lines, words, seen):
         label = "junk"
     else:
         label = "list"
@@ -246,7 +249,7 @@ def statistics(text: str | None, common: dict[str, frozenset[str]]) -> tuple:
         symbols,
         sum(map(_ended, lines)) / len(lines),
         shared / len(words) if words else 0.0,
-        duplicate, duplicate_share(paragraphs), dominant, share, label,
+        duplicate, again, dominant, share, label,
     )
 
 

@@ -24,6 +24,16 @@ def test_prose(text):
     assert Q.statistics(text, COMMON)[-1] == "prose"
 
 
+@pytest.mark.parametrize("text", [(PROSE + "\n") * 300, (PROSE + "\n\n") * 300, (PROSE[:30] + "\n" + PROSE[30:] + "\n\n") * 3, (ENGLISH + "\n") * 5, "ただし、期限を過ぎた場合は、この限りでない。" * 6])
+def test_filler_of_sentences(text):
+    assert Q.prose_share(text, len("".join(text.split()))) >= 0.5 and Q.statistics(text, COMMON)[-1] == "junk"
+
+
+@pytest.mark.parametrize("text", [(PROSE + "\n") * 2, "ただし、期限を過ぎた場合は、この限りでない。" * 2, "\n".join([PROSE, ENGLISH, "以上", PROSE])])
+def test_prose_said_twice(text):
+    assert Q.statistics(text, COMMON)[-1] == "prose"
+
+
 @pytest.mark.parametrize("text", [None, "", " \n　\t", "​"])
 def test_empty(text):
     assert Q.statistics(text, COMMON)[-1] == "empty"
