@@ -16,23 +16,23 @@ itself states; a stored amount whose residual against it is not zero is wrong.
 
 Defined cases: null, empty and dash texts, undisclosed prices and ranges state
 no amount; several different amounts in one text state none; a null or
-unreadable source note declares nothing. Texts longer than ``LONGEST``
-characters are not prices and state nothing, nor do numbers of 10^17 or more.
+unreadable source note declares nothing; numbers of 10^17 or more state nothing.
+A number of more than six decimals takes
+its stated unit in, then is rounded. Whole texts are read, however long: stretches of blanks count as one, and no
+pattern starts again inside a number.
 """
 
 from __future__ import annotations
 
 import re
 import unicodedata
-from decimal import Decimal
+from decimal import ROUND_HALF_UP, Decimal
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-LONGEST = 300
-
 # Counters and numerals of Japanese amounts, the plain and the legal forms.
 DIGITS = {"〇": 0, "零": 0, "一": 1, "壱": 1, "壹": 1, "二": 2, "弐": 2, "貳": 2, "三": 3, "参": 3, "參": 3, "四": 4, "肆": 4, "五": 5, "伍": 5, "六": 6, "陸": 6, "七": 7, "漆": 7, "質": 7, "八": 8, "捌": 8, "九": 9, "玖": 9}
 TENS = {"十": 10, "拾": 10, "百": 100, "佰": 100, "陌": 100, "千": 1000, "仟": 1000, "阡": 1000}
@@ -46,7 +46,7 @@ _KANJI = "".join([*DIGITS, *TENS, *MYRIADS])
 #: A tax share stated beside the total: the total includes it.
 _SHARE = re.compile(rf"[(\[（]?\s*(?:うち|内|内訳)\s*(?:、)?\s*(?:取引に係る)?(?:消費税|税)(?:及び地方消費税)?(?:相当)?(?:等)?(?:額)?(?:の額)?\s*[:は]?\s*(?:金)?[¥\\]?\s*{_NUM}\s*円?\s*[)\]）]?")
 _SHARE_EN = re.compile(rf"[(\[]?\s*(?:of which|incl(?:uding|\.)?)\s+(?:consumption\s+)?tax\s*(?:of)?\s*[:]?\s*(?:jpy|yen|¥)?\s*{_NUM}\s*(?:yen)?\s*[)\]]?")
-_RANGE = re.compile(r"[~〜～]|以上|未満|以下|以内|から.*(?:まで|範囲)|範囲|\bto\b|\bbetween\b|\bor (?:more|less)\b|\d\s*円?\s*[-–—]\s*[¥\\]?\d")
+_RANGE = re.compile(r"[~〜～]|以上|未満|以下|以内|範囲|\bto\b|\bbetween\b|\bor (?:more|less)\b|\d\s*円?\s*[-–—]\s*[¥\\]?\d")
 #: (unit phrase standing apart from the number, factor)
 _APART = (
     (re.compile(r"[(\[]?\s*(?:単位\s*[:=は/]?\s*)?(?:百万円)\s*(?:単位)?\s*[)\]]?"), 10**6),
@@ -56,11 +56,21 @@ _APART = (
 )
 _COUNTERS = r"(?:百万|十億|[千仟百]?[億万萬兆]|千|仟|百|十)"
 _MIXED = re.compile(rf"({_NUM})\s*({_COUNTERS})?")
-_WESTERN = re.compile(rf"({_NUM})\s*(thousand|million|billion|mn|bn|k|m|b)\b")
+_WESTERN = re.compile(rf"(?<!\d)({_NUM})\s*(thousand|million|billion|mn|bn|k|m|b)\b")
 _WESTERN_FACTOR = {"thousand": 10**3, "k": 10**3, "million": 10**6, "mn": 10**6, "m": 10**6, "billion": 10**9, "bn": 10**9, "b": 10**9}
 _CURRENCY = re.compile(r"円|[¥\\]|\bjpy\b|\byen\b")
 
 
+def _squeeze(s: str) -> str:
+    """Stretches of blanks as one, a line end if they hold one."""
+    return re.sub(r"\s{2,}", lambda m: "\n" if "\n" in m[0] else " ", s)
+
+
+def _spans(s: str) -> bool:
+    """Whether a line says from and, behind it, up to."""
+    return any("まで" in line.partition("から")[2] for line in s.split("\n"))
+
+
 def _kanji_number(s: str) -> int | None:
     """The value of a numeral written in words, e.g. two thousand and a hundred myriads; None if it is none."""
     total = section = 0
@@ -104,24 +114,25 @@ def read_price(raw: str | None) -> tuple[Decimal | None, int | None, str, bool]:
     several counters (3 hundred millions and 10 ten-thousands) come as their sum
     with unit 1. The tax basis is read independently of the amount.
     """
-    if raw is None or len(raw) > LONGEST:
+    if raw is None:
         return None, None, "unknown", False
-    s = unicodedata.normalize("NFKC", raw).strip().lower().replace("¥", "¥")
+    s = _squeeze(unicodedata.normalize("NFKC", raw).strip().lower().replace("¥", "¥"))
     basis = basis_of(s)
     if any(x in s for x in UNDISCLOSED):
         return None, None, basis, True
     s = _SHARE_EN.sub(" ", _SHARE.sub(" ", s))
     s = re.sub(r"(?<=\d)[,、](?=\d{3}(?!\d))", ",", s)
-    if _RANGE.search(s):
+    if _RANGE.search(s) or _spans(s):
         return None, None, basis, False
-    s = re.sub(r"(?:税率|消費税率?)?\s*\d+(?:\.\d+)?\s*%", " ", s)
+    s = _squeeze(re.sub(r"(?:税率|消費税率?)?\s*(?<!\d)\d+(?:\.\d+)?\s*%", " ", s))
     money = bool(_CURRENCY.search(s))
     if m := _WESTERN.search(s):
         rest = s[: m.start()] + s[m.end() :]
         return (None if re.search(r"\d", rest) else Decimal(m[1].replace(",", ""))), _WESTERN_FACTOR[m[2]], basis, False
     if not re.search(r"\d", s):
         runs = [x for x in re.findall(rf"[{_KANJI}]+", s) if any(c in DIGITS or c in TENS for c in x)]
-        runs = [x for x in runs if rf"{x}円" in s.replace(" ", "") or "金" in s] or runs
+        flat = s.replace(" ", "")
+        runs = [x for x in runs if rf"{x}円" in flat or "金" in s] or runs
         if len(runs) != 1 or _kanji_number(runs[0]) is None:
             return None, None, basis, False
         return Decimal(_kanji_number(runs[0])), (1 if money or any(c in MYRIADS or c in TENS for c in runs[0]) else None), basis, False
@@ -129,7 +140,7 @@ def read_price(raw: str | None) -> tuple[Decimal | None, int | None, str, bool]:
     for pattern, factor in _APART:
         # the phrase must not follow a number directly, else it is the number's own counter
         for m in pattern.finditer(s):
-            if not re.search(rf"[\d{_KANJI}]\s*$", s[: m.start()]) or m[0].lstrip()[:1] in "([":
+            if not re.search(rf"[\d{_KANJI}]\s*$", s[max(0, m.start() - 2) : m.start()]) or m[0].lstrip()[:1] in "([":
                 apart, s = factor, s[: m.start()] + " " + s[m.end() :]
                 break
         if apart:
@@ -174,13 +185,22 @@ _STATED = T.StructType(
 )
 
 
+def _fitting(number: Decimal | None, unit: int | None, limit: Decimal) -> tuple[Decimal | None, int | None]:
+    """number and unit within the column's six decimals: a finer number takes its unit in, then is rounded half up."""
+    if number is None or number.as_tuple().exponent >= -6:
+        return number, unit
+    if unit:
+        number, unit = number * unit, 1
+    return (number.quantize(Decimal("0.000001"), ROUND_HALF_UP) if number < limit else None), unit
+
+
 @F.pandas_udf(_STATED)
 def stated(raw: pd.Series) -> pd.DataFrame:
     """read_price of a column; equal texts of a batch are read once."""
     codes, texts = pd.factorize(raw, use_na_sentinel=True)
     read = [read_price(x) for x in texts] + [read_price(None)]
     limit = Decimal(10) ** 17
-    rows = [(n if n is None or n < limit else None, u, b, h) for n, u, b, h in (read[c] for c in codes)]
+    rows = [(*_fitting(n if n is None or n < limit else None, u, limit), b, h) for n, u, b, h in (read[c] for c in codes)]
     out = pd.DataFrame(rows, columns=["number", "unit", "basis", "undisclosed"])
     out["unit"] = out["unit"].astype("Int64")
     return out

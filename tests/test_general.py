@@ -193,6 +193,21 @@ def test_no_definite_amount(raw):
     assert units.read_price(raw)[0] is None
 
 
+def test_long_price_texts_are_read_whole():
+    note = "予定価格に関する注意事項を参照のこと。" * 2000
+    assert units.read_price(note + "金1,234,000円（税込）") == units.read_price("金1,234,000円（税込）" + note) == (Decimal(1_234_000), 1, "included", False)
+    assert units.read_price("5" + " " * 400 + "千円（税抜）") == (Decimal(5000), 1, "excluded", False)
+    assert units.read_price("100円" + note + "200円")[0] is None and units.read_price("600円から" + note + "700円まで")[0] is None
+    for text in ("1" * 100_000, "から" * 50_000, "1" + " " * 100_000 + "2", "百万円" * 50_000):  # none of them takes quadratic time
+        units.read_price(text)
+
+
+def test_fine_numbers_fit_the_column(spark):
+    df = spark.createDataFrame([(1, "1.12345678円"), (2, "0.12345678 million yen"), (3, "1." + "1" * 400), (4, "9" * 400)], "id int, raw string")
+    got = {r["id"]: (r["x"]["number"], r["x"]["unit"]) for r in df.select("id", units.stated("raw").alias("x")).collect()}
+    assert got == {1: (Decimal("1.123457"), 1), 2: (Decimal("123456.78"), 1), 3: (Decimal("1.111111"), None), 4: (None, None)}
+
+
 def test_declared_units():
     notes = {"PDF併用。一覧表は(単位:千円)の注記が表の外": 1000, "price column in millions of yen": 10**6, "価格の単位は百万円(サイト冒頭に記載)": 10**6, "amounts on this site are given in thousands of yen": 1000, "金額は円で掲載": None, "更新は平日のみ": None, None: None}
     assert {n: units.declared_unit(n) for n in notes} == notes
