@@ -18,52 +18,45 @@ TAX_EXCLUDED = "税抜|税別|消費税.{0,4}(?:抜|除|含まない|含まず)"
 TAX_INCLUDED = "税込|消費税.{0,4}含"
 LONGEST = 200
 DIGITS = 16
-UNITS = (("億", 10**8), ("百万", 10**6), ("万", 10**4), ("千", 10**3))
+# What may stand behind a number, largest first; the currency itself comes last.
+UNITS = {"億": 10**8, "百万": 10**6, "万": 10**4, "千": 10**3, "円": 1}
 
-_NUMBER = rf"(?<!\d)(\d{{1,{DIGITS}}})"
-_BEFORE = [(re.compile(rf"{_NUMBER}\s*{unit}"), factor) for unit, factor in UNITS]
-_YEN, _BARE = re.compile(rf"{_NUMBER}\s*円"), re.compile(rf"{_NUMBER}(?!\d)")
-_IN, _OUT = re.compile(TAX_INCLUDED), re.compile(TAX_EXCLUDED)
+_NUMBER = re.compile(rf"(\d+)\s*({'|'.join(UNITS)})?")
+_SAYS = {"included": re.compile(TAX_INCLUDED), "excluded": re.compile(TAX_EXCLUDED)}
 
 
 def amount_in(text: str) -> int | None:
     """Yen that an NFKC text states.
 
-    Each unit takes the first number before it and consumes the text up to
-    there, largest unit first; then a number before the yen sign is added; a bare
-    number counts only where no unit was found. Numbers have a digit limit and
-    start at the head of their digits, so nothing is cut silently and no
-    pattern backtracks over long digit runs.
+    The text is read once into numbers with their units. Each unit in turn,
+    largest first, takes its first number behind the one taken before; a number
+    without any unit counts only where none was taken. Runs of more digits than
+    ``DIGITS`` are no numbers, so nothing is cut silently.
     """
-    rest, parts = text.replace(",", ""), []
-    for pattern, factor in _BEFORE:
-        if m := pattern.search(rest):
-            parts.append(int(m[1]) * factor)
-            rest = rest[m.end() :]
-    last = _YEN.search(rest) or (None if parts else _BARE.search(rest))
-    if last:
-        parts.append(int(last[1]))
-    return sum(parts) if parts else None
+    numbers = [(int(n), unit) for n, unit in _NUMBER.findall(text.replace(",", "")) if len(n) <= DIGITS]
+    total, behind = 0, 0
+    for unit, factor in UNITS.items():
+        at = next((i for i in range(behind, len(numbers)) if numbers[i][1] == unit), None)
+        if at is not None:
+            total, behind = total + numbers[at][0] * factor, at + 1
+    if behind:
+        return total
+    return numbers[0][0] if numbers else None
 
 
 def basis_in(text: str) -> str:
     """Both or neither way of saying it is unknown."""
-    said = (bool(_IN.search(text)), bool(_OUT.search(text)))
-    return {(True, False): "included", (False, True): "excluded"}.get(said, "unknown")
+    said = [basis for basis, pattern in _SAYS.items() if pattern.search(text)]
+    return said[0] if len(said) == 1 else "unknown"
 
 
 def price_in(raw: str | None) -> tuple[Decimal | None, bool, str, str]:
-    """(amount, undisclosed, tax_basis, raw) of a price text."""
+    """(amount, undisclosed, tax_basis, raw) of a price text; the basis is read whether or not there is an amount."""
     shown = (raw or "").strip()
-    if len(shown) > LONGEST:
-        return None, False, "unknown", shown[:LONGEST]
-    text = unicodedata.normalize("NFKC", shown)
-    if text in EMPTY:
-        return None, False, "unknown", shown
-    if any(x in text for x in UNDISCLOSED):
-        return None, True, "unknown", shown
-    amount = amount_in(text)
-    return None if amount is None else Decimal(amount), False, basis_in(text), shown
+    text = unicodedata.normalize("NFKC", shown) if len(shown) <= LONGEST else ""
+    hidden = any(x in text for x in UNDISCLOSED)
+    amount = None if hidden or text in EMPTY else amount_in(text)
+    return None if amount is None else Decimal(amount), hidden, basis_in(text), shown[:LONGEST]
 
 
 PRICE = T.StructType([T.StructField("amount", T.DecimalType(38, 0)), T.StructField("undisclosed", T.BooleanType()), T.StructField("tax_basis", T.StringType()), T.StructField("raw", T.StringType())])

@@ -57,6 +57,7 @@ DATES = [
     ("令和8年3月12日", dt.date(2026, 3, 12)), ("R8.3.12", dt.date(2026, 3, 12)), ("令和元年5月1日", dt.date(2019, 5, 1)), ("平成３０年４月１日", dt.date(2018, 4, 1)),
     ("昭和64年1月7日", dt.date(1989, 1, 7)), ("2026/3/1", dt.date(2026, 3, 1)), ("2026-03-01 締切", dt.date(2026, 3, 1)), ("平成35年1月1日", None), ("令和8年2月30日", None),
     ("令和0年1月1日", None), ("三月十二日", None), ("3月12日", None), ("", None), (None, None), ("R8.13.1", None),
+    ("12026/3/1", dt.date(2026, 3, 1)), ("T15.12.24", dt.date(1926, 12, 24)), ("平成31年5月1日", None), ("2026.3.123", dt.date(2026, 3, 12)), ("令和 8 年 3 月 12 日", dt.date(2026, 3, 12)), ("R8.3.2026.4.1", dt.date(2026, 3, 20)), ("平成35年1月2026.4.1", None),
 ]
 
 
@@ -64,13 +65,19 @@ def test_dates(spark):
     assert column(spark, [t for t, _ in DATES], temporal.parse_date) == [w for _, w in DATES]
 
 
-TIMES = [("午後5時", "17:00"), ("17:30", "17:30"), ("１７時００分", "17:00"), ("午前12時", "00:00"), ("午後12時30分", "12:30"), ("正午", "12:00"), ("25時", None), ("25時 10時", None), ("10:75", None), ("なし", None), (None, None)]
+TIMES = [("午後5時", "17:00"), ("17:30", "17:30"), ("１７時００分", "17:00"), ("午前12時", "00:00"), ("午後12時30分", "12:30"), ("正午", "12:00"), ("25時", None), ("25時 10時", None), ("10:75", None), ("なし", None), (None, None), ("午後13時", None), ("午前13時", "13:00"), ("5時は正午に読む", "12:00"), ("", None)]
 
 
 def test_times(spark):
     assert column(spark, [t for t, _ in TIMES], temporal.parse_time) == [w for _, w in TIMES]
 
 
+def test_an_era_text_owns_the_digits_it_ends_in():
+    assert [w.day for w in temporal.scan("R8.3.2026.4.1")] == [dt.date(2026, 3, 20)]
+    assert [w.day for w in temporal.scan("R8.3.2026.4.12026/5/1、2026/6/1")] == [dt.date(2026, 3, 20), dt.date(2026, 6, 1)]
+    assert list(temporal.scan("2026年3月12日 " * 3))[-1].end == 32
+
+
 def test_deadline(spark):
     df = spark.createDataFrame([("令和8年3月27日 または 令和8年3月20日 午後5時",), ("令和8年3月20日",), ("未定",), (None,)], "x string")
     got = [tuple(r["y"]) for r in df.select(temporal.parse_deadline("x").alias("y")).collect()]
@@ -98,7 +105,8 @@ PRICES = [
     ("1,234,567円", 1234567, False, "unknown"), ("１２３万円（税込）", 1230000, False, "included"), ("3,400千円", 3400000, False, "unknown"), ("2百万円 税抜", 2000000, False, "excluded"),
     ("1億2千万円", 100002000, False, "unknown"), ("1億2,345万6,789円", 123456789, False, "unknown"), ("500", 500, False, "unknown"), ("非公表", None, True, "unknown"), ("予定価格1,000円は非公表", None, True, "unknown"),
     ("-", None, False, "unknown"), ("なし", None, False, "unknown"), (None, None, False, "unknown"), ("税込・税抜", None, False, "unknown"), ("消費税を含む 100円", 100, False, "included"), ("消費税を除く 100円", 100, False, "excluded"),
-    ("12345678901234567", None, False, "unknown"), ("500万1億", 100000000, False, "unknown"), ("9999999999999999億円", 9999999999999999 * 10**8, False, "unknown"),
+    ("12345678901234567", None, False, "unknown"), ("500万1億", 100000000, False, "unknown"), ("非公表（税抜）", None, True, "excluded"), ("税込 未定", None, True, "included"), ("5億 3千 2億", 500003000, False, "unknown"), ("3円 2万", 20000, False, "unknown"), ("12345678901234567円 5円", 5, False, "unknown"),
+    ("9999999999999999億円", 9999999999999999 * 10**8, False, "unknown"),
 ]
 
 
