@@ -105,7 +105,7 @@ def fold(current: DataFrame, observed: DataFrame, sequence: list[str], watched:
     base = F.coalesce(F.first("_base").over(upto), F.lit(1))
     revised = seen.withColumn("revision", (base + F.sum(F.col("_changed").cast("int")).over(upto)).cast("int")).where("_new = 1")
     outcome = F.when(F.col("_first"), "inserted").when(F.col("_changed"), "updated").otherwise("unchanged")
-    kind = F.when(F.col("_first"), "new").when(F.col("_changed") & (F.col("status") == "cancelled") & changed(F.col("_before.status"), F.col("status")), "cancelled").when(F.col("_changed"), "corrected")
+    kind = F.when(F.col("_first"), "new").when(F.col("_changed") & (F.col("status") == "cancelled"), "cancelled").when(F.col("_changed"), "corrected")
     told = F.when(F.col("_changed"), diff(F.col("_before"), F.col("_state"), watched)).otherwise(F.expr("cast(map() as map<string,array<string>>)"))
     out = revised.withColumns({"outcome": outcome, "change_kind": kind, "diff": told})
     fields = F.map_keys("diff")

@@ -130,7 +130,7 @@ def r_observations(spark: SparkSession, d: str) -> DataFrame:
      p AS (SELECT b.natural_key, b.snapshot_date, a.natural_key IS NOT NULL AND NOT ({_SAME}) AS changed,
                   (a.bid_deadline_date IS DISTINCT FROM b.bid_deadline_date OR a.bid_deadline_time IS DISTINCT FROM b.bid_deadline_time
                    OR a.application_deadline_date IS DISTINCT FROM b.application_deadline_date OR a.application_deadline_time IS DISTINCT FROM b.application_deadline_time) AS d,
-                  CASE WHEN a.status IS DISTINCT FROM b.status AND b.status = 'cancelled' THEN 'cancelled' ELSE 'corrected' END AS kind
+                  CASE WHEN b.status = 'cancelled' THEN 'cancelled' ELSE 'corrected' END AS kind
            FROM b JOIN b a ON a.natural_key = b.natural_key AND a.k = b.k - 1)
 SELECT natural_key, snapshot_date, kind AS change_kind, d AS deadline_changed FROM p WHERE changed"""
 )
