@@ -10,6 +10,10 @@ from pyspark.sql import functions as F
 from noticeflow.functions.temporal import elapsed_days
 from noticeflow.schemas import NO_ALERT
 
+#: What is said of a state that has no figures of its own.
+PLAIN = {"never_run": "実行の記録がありません", "empty": "取得は成功しましたが0件でした。一覧の構造を確認してください", "disabled": "最後の実行は無効化のため見送られました"}
+SWITCHED_OFF, PARTLY, FINE = "この機関は無効化されています", "一部のページを読めませんでしたが件数はふだん並みです", "問題なし"
+
 WINDOW_DAYS, DROP_RATIO, STALE_DAYS, LEAST_SAMPLES = 30, 0.5, 3, 3
 
 
@@ -52,18 +56,17 @@ def evaluate(organizations: DataFrame, runs: DataFrame, now: dt.datetime, window
         .otherwise("healthy")
     )
     told = F.col("enabled") & ~F.coalesce(status.isin("failed", "ok_empty", "disabled"), F.lit(False)) & ~F.coalesce(stale, F.lit(False)) & F.col("last").isNotNull()
-    reason = (
-        F.when(~F.col("enabled"), "機関が無効化されています")
-        .when(state == "never_run", "一度も実行されていません")
-        .when(state == "failed", F.concat(F.lit("直近の実行が失敗: "), F.coalesce("last.error_kind", F.lit("unknown"))))
-        .when(state == "empty", "正常終了したが取得0件。セレクタ空振りの可能性")
-        .when(state == "disabled", "直近の実行が無効化されていました")
-        .when(state == "stale", F.concat(elapsed_days(moment, at).cast("string"), F.lit("日間 ok が出ていません")))
-        .when(state == "warming_up", F.format_string("ベースラインのサンプル不足（%d件）", "samples"))
-        .when(state == "volume_drop", F.format_string(f"取得件数がベースラインを大きく下回りました: %d件 < 平均%.1f件 × {drop_ratio}", "last.fetched_count", "baseline_avg"))
-        .when(status == "partial", "一部ページで失敗しましたが件数は正常範囲です")
-        .otherwise("正常")
-    )
+    told_of = {
+        "failed": F.concat(F.lit("最後の実行が失敗で終わりました（"), F.coalesce("last.error_kind", F.lit("原因不明")), F.lit("）")),
+        "stale": F.format_string("最後の成功から%d日たっています", elapsed_days(moment, at)),
+        "warming_up": F.format_string("比較できる実行がまだ%d件です", "samples"),
+        "volume_drop": F.format_string(f"件数の落ち込み: %d件 < 平均%.1f件 × {drop_ratio}", "last.fetched_count", "baseline_avg"),
+    }
+    told_of |= {name: F.lit(text) for name, text in PLAIN.items()}
+    reason = F.when(~F.col("enabled"), SWITCHED_OFF)
+    for name, text in told_of.items():
+        reason = reason.when(state == name, text)
+    reason = reason.otherwise(F.when(status == "partial", PARTLY).otherwise(FINE))
     return got.select(
         F.col("id").alias("organization_id"), state.alias("state"), (~state.isin(*NO_ALERT)).alias("is_alert"), reason.alias("reason"),
         status.alias("last_status"), F.col("last.started_at").alias("last_run_at"), at.alias("last_success_at"),

@@ -45,7 +45,7 @@ def billed_this_month(ledger: DataFrame, now: Column) -> DataFrame:
 def stub(title: Column, spec: Column, profile: Column, score: int = 80) -> Column:
     """A deterministic verdict: struct(score, reason, summary, input_tokens, output_tokens)."""
     chars = F.length(title) + F.length(spec) + F.length(profile)
-    return F.struct(F.lit(score).alias("score"), F.concat(F.lit("スタブ判定（"), F.substring(title, 1, 20), F.lit("）")).alias("reason"), F.lit("スタブ要約").alias("summary"), F.floor(chars * STUB_RATE).cast("bigint").alias("input_tokens"), F.lit(STUB_OUT).cast("bigint").alias("output_tokens"))
+    return F.struct(F.lit(score).alias("score"), F.concat(F.lit("模擬の判定: "), F.substring(title, 1, 20)).alias("reason"), F.lit("模擬の要約").alias("summary"), F.floor(chars * STUB_RATE).cast("bigint").alias("input_tokens"), F.lit(STUB_OUT).cast("bigint").alias("output_tokens"))
 
 
 def with_keys(pairs: DataFrame) -> DataFrame:

@@ -6,23 +6,30 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+# The formats of the lines, which scripts may read.
+HEALTH_LINE = "%s %-20s %-12s %s"
+BASELINE_LINE = "\n     直近=%d 平均=%.1f (n=%d)"
+MARKS = {True: "🔴", False: "🟢"}
+GONE_LINE, GONE_CHARS = "🟡 %s: 締切前に一覧から消えました (%d日) %s", 40
+FUNNEL_LINES = {"total": "評価総数: %d", "stage_2": "2段目到達: %d", "stage_3": "3段目到達(LLM): %d", "billed": "うち課金: %d", "cache_hits": "うちキャッシュ: %d", "cost_jpy": "累計コスト: %.2f 円", "notified": "通知対象: %d"}
+
+
 def health_lines(report: DataFrame) -> DataFrame:
-    """(organization_id, line), alerts first; order by is_alert descending, then organization_id."""
-    figures = F.when(F.col("baseline_avg").isNotNull(), F.format_string("\n     直近=%d 平均=%.1f (n=%d)", "latest_count", "baseline_avg", "baseline_samples")).otherwise("")
-    mark = F.when(F.col("is_alert"), "🔴").otherwise("🟢")
-    line = F.concat(F.format_string("%s %-20s %-12s %s", mark, F.col("organization_id"), F.col("state"), F.col("reason")), figures)
-    return report.select("organization_id", "is_alert", line.alias("line"))
+    """(organization_id, is_alert, line); order by is_alert descending, then organization_id."""
+    mark = F.element_at(F.create_map(*[F.lit(x) for pair in MARKS.items() for x in pair]), F.col("is_alert"))
+    line = F.format_string(HEALTH_LINE, mark, "organization_id", "state", "reason")
+    below = F.when(F.col("baseline_avg").isNotNull(), F.format_string(BASELINE_LINE, "latest_count", "baseline_avg", "baseline_samples"))
+    return report.select("organization_id", "is_alert", F.concat_ws("", line, below).alias("line"))
 
 
 def disappeared_lines(gone: DataFrame) -> DataFrame:
     """(organization_id, line) of tenders that left the listing before their deadline."""
-    return gone.select("organization_id", F.format_string("🟡 %s: 締切前に一覧から消えました (%d日) %s", F.col("organization_id"), F.col("days_missing"), F.substring("title", 1, 40)).alias("line"))
+    return gone.select("organization_id", F.format_string(GONE_LINE, "organization_id", "days_missing", F.substring("title", 1, GONE_CHARS)).alias("line"))
 
 
 def funnel_lines(funnel: DataFrame) -> DataFrame:
-    """(company_id, text) of the funnel."""
-    rows = (("評価総数", "total", "%d"), ("2段目到達", "stage_2", "%d"), ("3段目到達(LLM)", "stage_3", "%d"), ("うち課金", "billed", "%d"), ("うちキャッシュ", "cache_hits", "%d"), ("累計コスト", "cost_jpy", "%.2f 円"), ("通知対象", "notified", "%d"))
-    return funnel.select("company_id", F.concat_ws("\n", *[F.format_string(f"{label}: {form}", F.col(c)) for label, c, form in rows]).alias("text"))
+    """(company_id, text) of the funnel, a line for each figure."""
+    return funnel.select("company_id", F.concat_ws("\n", *[F.format_string(form, c) for c, form in FUNNEL_LINES.items()]).alias("text"))
 
 
 def untraced(claimed: DataFrame, lines: DataFrame) -> DataFrame:

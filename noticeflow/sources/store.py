@@ -5,25 +5,24 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from noticeflow.schemas import TABLES, conform, enforce
+from noticeflow.storage import done, fs_path, mark_done
 
 
 class Store:
-    """A folder of tables; each table has numbered versions and a pointer to the one in force.
+    """A folder of tables; each table has numbered versions, the highest marked one is in force.
 
     A reader holds the version it planned with; a writer that dies leaves the
-    pointer where it was. Append-only tables add parts to one folder.
+    version before its own in force. Append-only tables add parts to one folder.
     """
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder
 
     def _path(self, *parts: str):
-        p = self.spark._jvm.org.apache.hadoop.fs.Path("/".join((self.folder, *parts)))
-        return p, p.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        return fs_path(self.spark, "/".join((self.folder, *parts)))
 
     def version(self, table: str) -> int:
-        p, fs = self._path(table, "CURRENT")
-        return int(self.spark.read.text(str(p)).first()[0]) if fs.exists(p) else -1
+        return done(self.spark, f"{self.folder}/{table}")
 
     def read(self, table: str) -> DataFrame:
         """The table, empty before its first version."""
@@ -33,16 +32,10 @@ class Store:
         return self.spark.read.schema(TABLES[table]).parquet(f"{self.folder}/{table}/v{v}")
 
     def replace(self, table: str, df: DataFrame, partition_by: tuple[str, ...] = ()) -> int:
-        """Write the next version, checked row by row, then point to it."""
+        """Write the next version, checked row by row, then mark it as the one in force."""
         v = self.version(table) + 1
         enforce(conform(df, table), table).write.mode("overwrite").partitionBy(*partition_by).parquet(f"{self.folder}/{table}/v{v}")
-        new, fs = self._path(table, "CURRENT.new")
-        out = fs.create(new, True)
-        out.write(bytearray(str(v).encode()))
-        out.close()
-        final, _ = self._path(table, "CURRENT")
-        fs.delete(final, False)
-        fs.rename(new, final)
+        mark_done(self.spark, f"{self.folder}/{table}", v)
         return v
 
     def append(self, table: str, df: DataFrame, part: str) -> None:

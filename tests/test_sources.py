@@ -7,10 +7,10 @@ import zipfile
 import pytest
 from pyspark.sql import functions as F
 
-from noticeflow.sources import attachments, html_listing
+from noticeflow.sources import attachments, html_listing, registry
 from noticeflow.sources.html_listing import Layout
 from noticeflow.sources.http import Client, ContactNotConfigured, FetchError, Response, ResponseTooLarge, RobotsDenied, UnsafeUrl, robots_policy, user_agent
-from noticeflow.sources.registry import Registry, Source
+from noticeflow.sources.registry import Source
 
 PAGE = """<html><head><meta charset="{charset}"></head><body><div><ul class="menu"><li><a href="/m">menu</a></li></ul>
 <ul class="x news_list"><li><span><a href="/b/1.html">【一般競争】 道路<br>清掃業務</a></span></li><li><a href="/b/2.html">【入札結果】橋梁</a></li><li><a href="">空</a></li><li><a href="/b/3.html"> </a></li></ul>
@@ -123,12 +123,14 @@ def test_fetching():
         user_agent("p", " ")
 
 
-def test_registry():
-    r = Registry()
-    for i, kind in (("b", "http"), ("a", "browser")):
-        r.register(Source(i, kind, "o", "n", "https://x.jp", Layout()))
-    assert r.ids() == ["a", "b"] and [s.id for s in r.by_kind("http")] == ["b"] and r.get("a").kind == "browser"
+def test_registry(spark):
+    listed = [Source(i, kind, "o", "n", f"https://x.jp/{i}", Layout(css_class="rows")) for i, kind in (("b", "http"), ("a", "browser"))]
+    table = registry.source_table(spark, listed)
+    assert [(r["id"], r["layout"]["css_class"]) for r in table.collect()] == [("a", "rows"), ("b", "rows")]
+    assert [r["id"] for r in table.where("kind = 'http'").collect()] == ["b"]
+    assert [(r["id"], r["crawler_id"], r["entry_url"]) for r in registry.organizations(table).collect()] == [("o", "a", "https://x.jp/a")]
     with pytest.raises(ValueError, match="already"):
-        r.register(Source("a", "http", "o", "n", "u"))
-    with pytest.raises(KeyError):
-        r.get("z")
+        registry.source_table(spark, [*listed, Source("a", "http", "o", "n", "u")])
+    with pytest.raises(ValueError, match="kind ftp"):
+        registry.source_table(spark, [Source("z", "ftp", "o", "n", "u")])
+    assert registry.source_table(spark, []).count() == 0
