@@ -7,13 +7,12 @@ bucket by bucket: keys without an entry were added, entries without a key were
 removed, entries with another hash were changed. Old and new values are fetched
 for the changed keys only. Then the new index takes the old one's place.
 
-``index_rows`` + ``probe`` + ``SnapshotIndex`` are the periodic form (one
-snapshot at a time, the index kept in Parquet buckets). ``probe_generations``
-runs the same probe for every generation of a history table in one pass: all
-generations' index entries of a bucket lie together, ordered by key and
-generation, so that each entry is probed against the generation before it and
-the "swap" is the step to the next generation. One shuffle of index entries,
-none of table rows.
+``SnapshotIndex`` keeps the index in bucketed Parquet: ``apply`` takes one
+snapshot as it arrives, ``replay`` all snapshots of a history table. The
+comparison joins bucket with bucket, so neither side is shuffled for it; table
+rows are never shuffled, only index entries, once, to their buckets.
+``probe_generations`` is the same result by one window over each key, for a
+table that is read once and whose index is not to be kept.
 
 Defined cases: a null key is no record and is left out; null equals null in a
 watched column; of several rows with one key in a snapshot the latest delivery
@@ -23,12 +22,14 @@ yields nothing; other columns, whatever their names, are neither read nor seen.
 
 from __future__ import annotations
 
-import json
+import hashlib
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from noticeflow.storage import done, mark_done, remove
+
 #: Marks a null inside the hashed text; cannot be part of a value's text.
 _NULL = "\u0000null"
 
@@ -42,10 +43,6 @@ def row_hash(columns: Sequence[str]) -> Column:
     return F.struct(F.xxhash64(F.lit(1), *parts).alias("a"), F.xxhash64(F.lit(2), *parts).alias("b"))
 
 
-def bucket_of(key: Column, buckets: int) -> Column:
-    return F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
-
-
 def index_rows(df: DataFrame, key: str, watched: Sequence[str], delivered: str | None, by: Sequence[str] = ()) -> DataFrame:
     """(by..., key, hash): the last delivered row of each key, as its hash.
 
@@ -145,30 +142,45 @@ def changed_values(df: DataFrame, changes: DataFrame, key: str, generation: str,
 class SnapshotIndex:
     """The index of the last snapshot, kept in bucketed Parquet below ``folder``.
 
-    Each generation is a folder of its own; the pointer file is replaced last,
-    so a job that dies half way leaves the old index in force and can be run again.
+    Each generation is a folder of its own whose files are buckets of the key's
+    hash, so an index and the one before it meet bucket by bucket: the join reads
+    both as they lie, without moving either. A marker file makes a generation the
+    one in force, last of all, so a job that dies half way leaves the old index in
+    force and can be run again.
+
+    ``apply`` takes one snapshot as it arrives, ``replay`` the snapshots of a
+    history table. The number of buckets belongs to the folder: give the same
+    with every snapshot.
     """
 
+    _ENTRY = "key {}, hash struct<a:bigint,b:bigint>"
+
     def __init__(self, spark: SparkSession, folder: str, key: str, watched: Sequence[str], delivered: str | None = None, buckets: int = 64):
         self.spark, self.folder, self.key, self.watched, self.delivered, self.buckets = spark, folder, key, list(watched), delivered, buckets
 
-    def _path(self, name: str):
-        jvm = self.spark._jvm
-        path = jvm.org.apache.hadoop.fs.Path(f"{self.folder}/{name}")
-        return path, path.getFileSystem(self.spark._jsc.hadoopConfiguration())
-
     def generation(self) -> int:
         """The generation in force; -1 before the first snapshot."""
-        path, fs = self._path("CURRENT.json")
-        if not fs.exists(path):
-            return -1
-        return json.loads(self.spark.read.text(str(path)).first()[0])["generation"]
-
-    def current(self) -> DataFrame:
-        at = self.generation()
-        if at < 0:
-            return self.spark.createDataFrame([], "bucket int, key string, hash struct<a:bigint,b:bigint>")
-        return self.spark.read.parquet(f"{self.folder}/generation={at}")
+        return done(self.spark, self.folder)
+
+    def _name(self, part: str) -> str:
+        return f"noticeflow_index_{hashlib.sha256(self.folder.encode()).hexdigest()[:16]}_{part}"
+
+    def _write(self, entries: DataFrame, part: str, by: Sequence[str] = ()) -> DataFrame:
+        """Entries as the bucketed table of that name; one task holds whole buckets."""
+        at, name = f"{self.folder}/{part}", self._name(part)
+        self.spark.sql(f"DROP TABLE IF EXISTS {name}")
+        remove(self.spark, at)
+        placed = entries.repartition(self.buckets, "key")
+        placed.write.partitionBy(*by).bucketBy(self.buckets, "key").sortBy("key").option("path", at).saveAsTable(name)
+        return self.spark.table(name)
+
+    def _open(self, part: str, kind: str) -> DataFrame:
+        """A table that another session may have written."""
+        name = self._name(part)
+        self.spark.sql(
+            f"CREATE TABLE IF NOT EXISTS {name} ({self._ENTRY.format(kind)}) USING parquet CLUSTERED BY (key) SORTED BY (key) INTO {self.buckets} BUCKETS LOCATION '{self.folder}/{part}'"
+        )
+        return self.spark.table(name)
 
     def apply(self, snapshot: DataFrame) -> DataFrame:
         """Changes of this snapshot against the last; afterwards this one is the last.
@@ -176,20 +188,40 @@ class SnapshotIndex:
         The new index is written before the probe, so that the snapshot is read once.
         """
         at = self.generation()
-        old = self.current()
-        new = index_rows(snapshot, self.key, self.watched, self.delivered).withColumn("bucket", bucket_of(F.col("key"), self.buckets))
-        to = f"{self.folder}/generation={at + 1}"
-        new.repartition(self.buckets, "bucket").sortWithinPartitions("bucket", "key").write.mode("overwrite").partitionBy("bucket").parquet(to)
-        changes = probe(old, self.spark.read.schema("key string, hash struct<a:bigint,b:bigint>, bucket int").parquet(to))
-        changes.write.mode("overwrite").parquet(f"{self.folder}/changes={at + 1}")
-        self._point(at + 1)
-        return self.spark.read.schema("key string, change_kind string").parquet(f"{self.folder}/changes={at + 1}")
-
-    def _point(self, generation: int) -> None:
-        path, fs = self._path("CURRENT.json.new")
-        out = fs.create(path, True)
-        out.write(bytearray(json.dumps({"generation": generation}).encode()))
-        out.close()
-        final, _ = self._path("CURRENT.json")
-        fs.delete(final, False)
-        fs.rename(path, final)
+        kind = dict(snapshot.dtypes)[self.key]
+        new = self._write(index_rows(snapshot, self.key, self.watched, self.delivered), f"g{at + 1}")
+        old = self._open(f"g{at}", kind) if at >= 0 else new.limit(0)
+        probe(old, new).write.mode("overwrite").parquet(f"{self.folder}/changes={at + 1}")
+        mark_done(self.spark, self.folder, at + 1)
+        return self.spark.read.schema(f"key {kind}, change_kind string").parquet(f"{self.folder}/changes={at + 1}")
+
+    def replay(self, history: DataFrame, generation: str, together: int = 16) -> DataFrame:
+        """(generation, key, change_kind) of every snapshot of a table against the one before it; the first yields nothing.
+
+        The entries of all snapshots are bucketed in one pass over the table. Then
+        each snapshot's index is probed against the one before, ``together`` pairs
+        in one job, and gives way to it. What stays is the changes.
+        """
+        kind = dict(history.dtypes)
+        rows = history.where(F.col(generation).isNotNull()).withColumnRenamed(generation, "generation")
+        every = self._write(index_rows(rows, self.key, self.watched, self.delivered, by=["generation"]), "history", by=["generation"])
+        # one row per snapshot delivered, from the names of the folders
+        steps = sorted(r[0].partition("=")[2] for r in self.spark.sql(f"SHOW PARTITIONS {self._name('history')}").collect())
+        schema = f"key {kind[self.key]}, change_kind string, generation string"
+        pairs = list(zip(steps, steps[1:]))
+        for i in range(0, max(len(pairs), 1), together):
+            found = every.select("key", F.lit("").alias("change_kind"), F.lit("").alias("generation")).limit(0)
+            for before, after in pairs[i : i + together]:
+                old, new = (every.where(F.col("generation") == F.lit(g).cast(kind[generation])) for g in (before, after))
+                found = found.unionByName(probe(old, new).withColumn("generation", F.lit(after)))
+            found.write.mode("overwrite").parquet(f"{self.folder}/replayed/part={i}")
+        self.spark.sql(f"DROP TABLE {self._name('history')}")
+        remove(self.spark, f"{self.folder}/history")
+        got = self.spark.read.schema(schema).parquet(f"{self.folder}/replayed")
+        return got.select(F.col("generation").cast(kind[generation]).alias(generation), "key", "change_kind")
+
+
+def buckets_for(df: DataFrame) -> int:
+    """A bucket for every 64 MB that the plan expects to read, and one per core at least."""
+    expected = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    return max(df.sparkSession.sparkContext.defaultParallelism, expected // (64 << 20) + 1)

@@ -2,18 +2,23 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from noticeflow.operators import snapshot_diff, spikes, trailing, units
-from noticeflow.storage import read
+from noticeflow.storage import read, shared_folder
 
 WATCHED = ("status", "bid_deadline_date", "bid_deadline_time", "application_deadline_date")
 
 
 def _changes(rows: DataFrame) -> DataFrame:
-    index = snapshot_diff.index_rows(rows.where("snapshot_date is not null"), "natural_key", WATCHED, "delivered_at", by=["snapshot_date"])
-    return snapshot_diff.probe_generations(index, "snapshot_date", snapshot_diff.generations_of(rows, "natural_key", "snapshot_date"))
+    """Every snapshot through the bucketed index; it lies in the shared folder and is gone when the changes are found."""
+    spark = rows.sparkSession
+    at = f"{shared_folder(spark)}/snapshot-index-{uuid.uuid4().hex}"
+    index = snapshot_diff.SnapshotIndex(spark, at, "natural_key", WATCHED, "delivered_at", buckets=snapshot_diff.buckets_for(rows))
+    return index.replay(rows, "snapshot_date")
 
 
 def _snapshots(spark: SparkSession, d: str) -> DataFrame:

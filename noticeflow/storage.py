@@ -37,15 +37,47 @@ def shared_folder(spark: SparkSession) -> str:
 def materialize(df: DataFrame) -> DataFrame:
     """Write df once to the shared checkpoint folder and go on from the copy.
 
-    Unlike localCheckpoint or cache the copy outlives lost executors.
+    Unlike localCheckpoint or cache the copy outlives lost executors. It is
+    removed once nothing refers to it any more.
     """
     spark = df.sparkSession
     context = spark.sparkContext
     if not context._jsc.sc().getCheckpointDir().isDefined():
         context.setCheckpointDir(shared_folder(spark))
+    context._jsc.sc().conf().set("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     return df.checkpoint(eager=True)
 
 
+def fs_path(spark: SparkSession, at: str):
+    """(path, file system) of a place in shared storage."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(at)
+    return path, path.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def remove(spark: SparkSession, at: str) -> None:
+    path, fs = fs_path(spark, at)
+    fs.delete(path, True)
+
+
+def done(spark: SparkSession, folder: str) -> int:
+    """The highest version of a folder that is complete; -1 without any."""
+    path, fs = fs_path(spark, folder)
+    names = [s.getPath().getName() for s in fs.listStatus(path)] if fs.exists(path) else []
+    return max((int(n.removeprefix("done-")) for n in names if n.startswith("done-")), default=-1)
+
+
+def mark_done(spark: SparkSession, folder: str, version: int) -> None:
+    """Make a version of a folder the one in force.
+
+    Each version has a marker file of its own, whose being there is all it says:
+    nothing is deleted, renamed or half written, so a job that dies at any moment
+    leaves either the old version in force or the new one. A version that another
+    writer has marked in the meantime is an error.
+    """
+    path, fs = fs_path(spark, f"{folder}/done-{version:09d}")
+    fs.create(path, False).close()
+
+
 def spread(df: DataFrame) -> DataFrame:
     """df over at least as many partitions as there are cores, for stages that compute much per row.
 

@@ -77,6 +77,42 @@ def test_periodic_index_is_the_history(spark, tmp_path):
     assert got == brute_changes(rows) and index.generation() == 3
 
 
+@pytest.mark.parametrize(("seed", "n", "together"), [(11, 0, 2), (12, 1, 2), (13, 300, 2), (14, 300, 16)])
+def test_replay_is_the_history(spark, tmp_path, seed, n, together):
+    rows = [r for r in snapshots(random.Random(seed), n) if r[1]]
+    index = snapshot_diff.SnapshotIndex(spark, str(tmp_path / "index"), "natural_key", ("status", "n"), "delivered_at", buckets=3)
+    got = index.replay(spark.createDataFrame(rows, SNAP), "snapshot_date", together).collect()
+    assert {tuple(r) for r in got} == brute_changes(rows) and len(got) == len(brute_changes(rows))
+
+
+def test_probe_moves_no_index(spark, tmp_path):
+    index = snapshot_diff.SnapshotIndex(spark, str(tmp_path / "index"), "natural_key", ("status", "n"), "delivered_at", buckets=3)
+    for seed in (1, 2):
+        index.apply(spark.createDataFrame(snapshots(random.Random(seed), 50), SNAP))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = snapshot_diff.probe(index._open("g0", "string"), index._open("g1", "string"))._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "SortMergeJoin" in plan and "Exchange" not in plan
+
+
+def test_a_crash_keeps_the_old_index(spark, tmp_path, monkeypatch):
+    make = lambda: snapshot_diff.SnapshotIndex(spark, str(tmp_path / "index"), "natural_key", ("status",), buckets=2)
+    one, two = (spark.createDataFrame([(k, s) for k in keys], "natural_key string, status string") for keys, s in (("ab", "x"), ("bc", "y")))
+    make().apply(one)
+
+    def die(*_):
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(snapshot_diff, "mark_done", die)
+    with pytest.raises(RuntimeError, match="lost"):
+        make().apply(two)
+    monkeypatch.undo()
+    assert make().generation() == 0
+    assert sorted(tuple(r) for r in make().apply(two).collect()) == [("a", "removed"), ("b", "changed"), ("c", "added")]
+
+
 # 2
 
 RUN = "id bigint, org string, target_date date, attempt int, status string, fetched bigint, ins bigint, upd bigint, level double, stuck string"
