@@ -45,6 +45,8 @@ TABLES = {
     "attachment": _struct("natural_key:string file_url:string extraction_status:string text:string chars:int file_ext:string note:string"),
     "raw_tender": _struct("organization_id:string source_url:string captured_at:ntz title:string external_ref:string method_text:string announced_text:string qa_deadline_text:string application_deadline_text:string bid_deadline_text:string price_text:string place_text:string qualification_text:string attachment_urls:strings raw_payload:map"),
 }
+#: Notices that can have no key, as far as they could be read.
+TABLES["tender_rejected"] = TABLES["tender"]
 
 
 @dataclass(frozen=True)

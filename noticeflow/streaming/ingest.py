@@ -15,7 +15,8 @@ def ingest_stream(raw: DataFrame, store: Store, checkpoint: str, sequence: str =
 
     A history part is named by its epoch and the version it was folded from. A
     batch that is run again after its version was replaced finds that part and
-    is skipped; one that died before replaces its own part.
+    is skipped; one that died before replaces its own part. Rows that can have no
+    key are kept in tender_rejected, in a part of their epoch.
     """
 
     def one(batch: DataFrame, epoch: int) -> None:
@@ -26,7 +27,8 @@ def ingest_stream(raw: DataFrame, store: Store, checkpoint: str, sequence: str =
             bases = [int(n.rpartition("-v")[2]) for n in names if n.startswith(f"part=epoch-{epoch}-v")]
             if any(b < version for b in bases):
                 return
-        typed, _ = ingest.quarantine(ingest.normalize(batch))
+        typed, rejected = ingest.quarantine(ingest.normalize(batch))
+        store.append("tender_rejected", rejected, f"epoch-{epoch}")
         order = [sequence, "source_url"]
         folded = ingest.fold(store.read("tender"), typed, order, seen_at=sequence).cache()
         store.append("tender_revision", ingest.history(folded, sequence), f"epoch-{epoch}-v{version}")

@@ -6,7 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from noticeflow import schemas
+from noticeflow import schemas, storage
 from noticeflow.operators import data_health, health, ingest, lifecycle, runs
 from noticeflow.sources.store import Store
 from noticeflow.streaming.ingest import ingest_stream, volume_by_day
@@ -104,6 +104,31 @@ def test_store_rejects(spark, tmp_path):
     assert {(r["constraint"], r["n"]) for r in schemas.violations(store.read("organization"), "organization").collect()} == {("crawler_kind", 0), ("unique", 1)}
 
 
+def test_a_crash_leaves_a_version_in_force(spark, tmp_path, monkeypatch):
+    store = Store(spark, str(tmp_path))
+    rows = spark.createDataFrame([("a", "http")], "id string, crawler_kind string")
+    store.replace("organization", rows)
+
+    def die(*_):
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr("noticeflow.sources.store.mark_done", die)
+    with pytest.raises(RuntimeError, match="lost"):
+        store.replace("organization", rows.limit(0))
+    assert store.version("organization") == 0 and store.read("organization").count() == 1
+    monkeypatch.undo()
+    assert store.replace("organization", rows.unionAll(rows)) == 1 and store.read("organization").count() == 2
+    with pytest.raises(Exception, match="exists"):
+        storage.mark_done(spark, str(tmp_path / "organization"), 1)  # another writer's version
+
+
+def test_cancelled_stays_cancelled(spark):
+    cols = "natural_key string, seq int, status string, title string"
+    df = spark.createDataFrame([("k", 1, "open", "a"), ("k", 2, "cancelled", "a"), ("k", 3, "cancelled", "b"), ("k", 4, "open", "b")], cols)
+    got = ingest.fold(df.limit(0).withColumn("current_revision", F.lit(0)), df, ["seq"], ("status", "title")).orderBy("seq").collect()
+    assert [r["change_kind"] for r in got] == ["new", "cancelled", "cancelled", "corrected"]
+
+
 def log(spark, rows):
     full = []
     for i, (org, day, status, count, *more) in enumerate(rows):
@@ -192,12 +217,13 @@ def test_data_health(spark):
 
 def test_stream(spark, tmp_path):
     src, store = tmp_path / "raw", Store(spark, str(tmp_path / "store"))
-    raw(spark, [{}]).write.parquet(str(src / "a"))
+    raw(spark, [{}, {"title": "　", "source_url": "https://x.jp/untitled"}]).write.parquet(str(src / "a"))
     stream = lambda: spark.readStream.schema(schemas.TABLES["raw_tender"]).option("recursiveFileLookup", "true").parquet(str(src))
     ingest_stream(stream(), store, str(tmp_path / "cp")).awaitTermination()
     raw(spark, [{"price_text": "2,000,000円", "captured_at": NOW + dt.timedelta(days=1)}]).write.parquet(str(src / "b"))
     ingest_stream(stream(), store, str(tmp_path / "cp")).awaitTermination()
     assert store.read("tender").first()["current_revision"] == 2
+    assert [(r["natural_key"], r["title"]) for r in store.read_appended("tender_rejected").collect()] == [(None, "　")]
     assert sorted(r["revision"] for r in store.read_appended("tender_revision").collect()) == [1, 2]
     log(spark, days([5, 7])).write.parquet(str(tmp_path / "runs"))
     q = volume_by_day(spark.readStream.schema(schemas.TABLES["crawl_run"]).parquet(str(tmp_path / "runs"))).writeStream.outputMode("update").format("memory").queryName("volumes").trigger(availableNow=True).start()
