@@ -223,5 +223,5 @@ class SnapshotIndex:
 
 def buckets_for(df: DataFrame) -> int:
     """A bucket for every 64 MB that the plan expects to read, and one per core at least."""
-    expected = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    expected = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     return max(df.sparkSession.sparkContext.defaultParallelism, expected // (64 << 20) + 1)
