@@ -4,19 +4,22 @@ Three detectors over one per-source, per-day series:
 
 * bounds: a count that no run can have (negative, a filler value, at odds with
   its own status or with what was inserted and updated). Decided row by row.
-* spikes: the series of the log counts is decomposed into details of scales 1,
-  2, 4, 8 and 16 by a median wavelet (multiresolution median transform: each
-  smoothing is a running median, so that a spike does not leak into the level as
-  with a linear wavelet). The details are scaled by their median absolute
-  deviation; a day whose summed details exceed the threshold is a candidate.
-  Each run of a candidate day is then held exactly against the level, the median
-  of the runs ended ok around it.
-* sticking: a run of zero finest (Haar) details on consecutive calendar days,
-  in a source whose other days have non-zero details.
+* spikes: the series of the log counts is decomposed into coefficients of scales
+  1, 2, 4, 8 and 16 days by a median wavelet (multiresolution median transform:
+  each smoothing is a running median over calendar days, so that a spike does not
+  leak into the level as with a linear wavelet). The coefficients of each scale
+  are held against that scale's own robust deviation; a day with a coefficient
+  beyond its scale's threshold, on any scale, is a candidate. Each run of a
+  candidate day is then held exactly against the level, the median of the runs
+  ended ok in the weeks around it.
+* sticking: a run of zero finest (Haar) coefficients on consecutive calendar days,
+  in a source whose other days have coefficients that are not zero.
 
 Scale: rows collapse to one value per source and calendar day before anything
-is grouped by source (a maximum, combined before the shuffle), so the largest
-group is bounded by the days of the calendar, never by the rows of a hot source.
+is grouped (a maximum, combined before the shuffle). The days of a source are cut
+into blocks of a year, each with the days next to it that its windows reach into,
+so a group has some 500 rows at most, however many a source has and however far
+its dates reach; what is usual for a source is what is usual in that year.
 
 Defined cases: a row delivered twice counts once (one row per id); rows with a
 null id are left out, since no id could be returned; a null count, status,
@@ -35,11 +38,21 @@ FILLERS = (9999, 99999, 999999, 9999999, 99999999, 999999999, 32767, 65535, 2147
 
 #: Days on each side whose runs make the level: the coarsest scale of the decomposition.
 REACH = 16
+SCALES = (1, 2, 4, 8, REACH)
+#: A level takes in this many days with runs on each side, even where a source runs less often.
+LEAST_BESIDE = 2
+#: Robust deviations that a coefficient must exceed.
+DEVIATIONS = 4.0
 #: The spike test of the problem statement.
 TIMES, ABOVE, BELOW = 5.0, 50.0, 0.1
+#: No scale's threshold is above this, however noisy the source: a value that is three times the level (the
+#: spike test asks for five) has coefficients that add up to log 3, so one of them reaches its share of it.
+SHARE = float(np.log(3)) / len(SCALES)
 STUCK_DAYS = 7
 #: A source varies if at least this share of its other day-to-day steps is a change.
 VARYING = 0.25
+#: Days of a block, and days beside it that the windows of its days reach into.
+BLOCK, HALO = 366, 64
 
 
 def impossible(count: Column, status: Column, inserted: Column, updated: Column) -> Column:
@@ -55,26 +68,37 @@ def impossible(count: Column, status: Column, inserted: Column, updated: Column)
     return F.coalesce(wrong, F.lit(False))
 
 
-def _smooth(x: np.ndarray, reach: int) -> np.ndarray:
-    """Running median, cut at both ends."""
-    n = len(x)
-    padded = np.pad(x, reach, constant_values=np.inf)  # sorts behind every value
-    windows = np.sort(np.lib.stride_tricks.sliding_window_view(padded, 2 * reach + 1), axis=1)
-    at = np.arange(n)
-    held = np.minimum(at, reach) + np.minimum(n - 1 - at, reach) + 1
+def _smooth(x: np.ndarray, days: np.ndarray, reach: int, least: int = 0) -> np.ndarray:
+    """Running median over the days (ascending, distinct) within reach, and over ``least`` neighbours on each side at least."""
+    at = np.arange(len(x))
+    lo = np.maximum(np.minimum(np.searchsorted(days, days - reach), at - least), 0)
+    hi = np.minimum(np.maximum(np.searchsorted(days, days + reach, "right"), at + least + 1), len(x))
+    held = hi - lo
+    padded = np.append(x, np.inf)  # what is taken beyond a window sorts behind its values
+    taken = lo[:, None] + np.arange(held.max())
+    windows = np.sort(padded[np.where(taken < hi[:, None], taken, len(x))], axis=1)
     return (windows[at, (held - 1) // 2] + windows[at, held // 2]) / 2
 
 
-def median_wavelet(x: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
-    """(details of scales 1, 2, 4, ... REACH, what is left): their sum is x."""
-    details, scale = [], 1
-    while scale <= REACH:
-        smooth = _smooth(x, scale)
+def median_wavelet(x: np.ndarray, days: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
+    """(coefficients of each of SCALES, what is left): their sum is x."""
+    details = []
+    for scale in SCALES:
+        smooth = _smooth(x, days, scale, LEAST_BESIDE * (scale == REACH))
         details.append(x - smooth)
-        x, scale = smooth, 2 * scale
+        x = smooth
     return details, x
 
 
+def beyond(details: list[np.ndarray]) -> np.ndarray:
+    """Days with a coefficient beyond its scale's threshold, on any scale."""
+    out = np.zeros(len(details[0]), dtype=bool)
+    for d in details:
+        deviation = 1.4826 * np.median(np.abs(d - np.median(d)))
+        out |= np.abs(d) > min(DEVIATIONS * deviation, SHARE)
+    return out
+
+
 def stuck_days(days: np.ndarray, values: np.ndarray) -> np.ndarray:
     """Which of the days (ascending day numbers) lie in a stuck stretch of a source that varies."""
     stuck = np.zeros(len(days), dtype=bool)
@@ -94,25 +118,21 @@ def stuck_days(days: np.ndarray, values: np.ndarray) -> np.ndarray:
     return stuck
 
 
-def _source(pdf: pd.DataFrame) -> pd.DataFrame:
+def _block(pdf: pd.DataFrame) -> pd.DataFrame:
     pdf = pdf.sort_values("day_no", kind="stable")
-    values = pdf["value"].to_numpy(dtype=float)
-    details, _ = median_wavelet(np.log1p(np.maximum(values, 0)))
-    total = np.sum(details, axis=0)
-    scale = 1.4826 * np.median(np.abs(total - np.median(total)))
-    # never above log 3, so that noise can't hide a run five times its level
-    candidate = np.abs(total) > min(4 * scale, np.log(3))
-    return pd.DataFrame(
+    values, days = pdf["value"].to_numpy(dtype=float), pdf["day_no"].to_numpy()
+    details, _ = median_wavelet(np.log1p(np.maximum(values, 0)), days)
+    out = pd.DataFrame(
         {
             "source": pdf["source"].to_numpy(),
             "day": pdf["day"].to_numpy(),
             "value": pdf["value"].to_numpy(),
-            "level": _smooth(values, REACH),
-            "detail": total,
-            "candidate": candidate,
-            "stuck": stuck_days(pdf["day_no"].to_numpy(), pdf["value"].to_numpy()),
+            "level": _smooth(values, days, REACH, LEAST_BESIDE),
+            "candidate": beyond(details),
+            "stuck": stuck_days(days, pdf["value"].to_numpy()),
         }
     )
+    return out[days // BLOCK == pdf["block"].to_numpy()]
 
 
 def flag_runs(df: DataFrame, id: str, source: str, day: str, attempt: str, status: str, count: str, inserted: str, updated: str) -> DataFrame:
@@ -132,7 +152,11 @@ def flag_runs(df: DataFrame, id: str, source: str, day: str, attempt: str, statu
         .agg(F.max(F.struct(F.col("attempt").isNotNull(), "attempt", "id", "count")).alias("e"))
         .select("source", "day", F.datediff("day", F.lit("1970-01-01").cast("date")).alias("day_no"), F.col("e.count").alias("value"))
     )
-    series = days.groupBy("source").applyInPandas(_source, "source string, day date, value bigint, level double, detail double, candidate boolean, stuck boolean")
+    # a day near an end of its block also lies beside the next one
+    block = F.floor(F.col("day_no") / BLOCK)
+    blocks = F.array_distinct(F.array(block, F.floor((F.col("day_no") - HALO) / BLOCK), F.floor((F.col("day_no") + HALO) / BLOCK)))
+    placed = days.withColumn("block", F.explode(blocks))
+    series = placed.groupBy("source", "block").applyInPandas(_block, "source string, day date, value bigint, level double, candidate boolean, stuck boolean")
     judged = runs.join(series, ["source", "day"], "left")
     ok = (F.col("status") == "ok") & ~F.col("impossible")
     c, level = F.col("count"), F.col("level")

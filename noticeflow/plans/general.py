@@ -97,6 +97,34 @@ def p2_flags(spark: SparkSession, d: str) -> DataFrame:
     return _run_flags(spark, d)
 
 
+#: Every run held exactly against the level of the days around it; the operator asks this of its candidates only.
+P2_FLAGS_SQL = f"""
+WITH u AS (SELECT id, organization_id AS source, target_date AS day, attempt, status, fetched_count AS c,
+                  coalesce(fetched_count < 0 OR fetched_count IN {spikes.FILLERS} OR (status = 'ok' AND fetched_count <= 0) OR (status IN ('ok_empty', 'disabled') AND fetched_count <> 0)
+                           OR fetched_count < coalesce(inserted_count, 0) + coalesce(updated_count, 0), false) AS impossible
+           FROM (SELECT DISTINCT ON (id) * FROM crawl_run WHERE id IS NOT NULL)),
+     d AS (SELECT source, day, c AS value FROM (SELECT *, row_number() OVER (PARTITION BY source, day ORDER BY attempt DESC NULLS LAST, id DESC) AS k FROM u
+           WHERE status = 'ok' AND NOT impossible AND c IS NOT NULL AND source IS NOT NULL AND day IS NOT NULL) WHERE k = 1),
+     n AS (SELECT *, row_number() OVER w AS i, value - lag(value) OVER w AS step, day - lag(day) OVER w AS gap,
+                  count(*) OVER (PARTITION BY source ORDER BY day RANGE BETWEEN INTERVAL {spikes.REACH} DAYS PRECEDING AND CURRENT ROW) - 1 AS b,
+                  count(*) OVER (PARTITION BY source ORDER BY day RANGE BETWEEN CURRENT ROW AND INTERVAL {spikes.REACH} DAYS FOLLOWING) - 1 AS f
+           FROM d WINDOW w AS (PARTITION BY source ORDER BY day)),
+     l AS (SELECT a.source, a.day, a.value, median(x.value) AS level FROM n a JOIN n x ON x.source = a.source
+           AND x.i BETWEEN a.i - greatest(a.b, {spikes.LEAST_BESIDE}) AND a.i + greatest(a.f, {spikes.LEAST_BESIDE}) GROUP BY ALL),
+     r AS (SELECT *, sum(CASE WHEN step = 0 AND gap = 1 AND value <> 0 THEN 0 ELSE 1 END) OVER (PARTITION BY source ORDER BY day) AS run FROM n),
+     k AS (SELECT source, run, min(i) AS s, max(i) AS e FROM r GROUP BY ALL HAVING count(*) >= {spikes.STUCK_DAYS}),
+     t AS (SELECT k.source, k.run FROM k JOIN n ON n.source = k.source AND n.step IS NOT NULL AND (n.i < k.s OR n.i > k.e + 1)
+           GROUP BY ALL HAVING avg(CASE WHEN n.step <> 0 THEN 1.0 ELSE 0.0 END) >= {spikes.VARYING}),
+     z AS (SELECT r.source, r.day FROM r JOIN t ON t.source = r.source AND t.run = r.run)
+SELECT u.id, u.source, u.day, u.status, u.c AS count, l.level, u.impossible,
+       coalesce(u.status = 'ok' AND NOT u.impossible AND ((u.c > {spikes.TIMES} * l.level AND u.c - l.level > {spikes.ABOVE}) OR u.c < {spikes.BELOW} * l.level), false) AS spike,
+       coalesce(u.status = 'ok' AND NOT u.impossible AND z.day IS NOT NULL AND u.c = l.value, false) AS stuck
+FROM u LEFT JOIN l ON l.source = u.source AND l.day = u.day LEFT JOIN z ON z.source = u.source AND z.day = u.day
+"""
+
+P2_FOUND_SQL = f"SELECT id FROM ({P2_FLAGS_SQL}) WHERE impossible OR spike OR stuck"
+
+
 def _trailing(spark: SparkSession, d: str) -> DataFrame:
     runs = read(spark, d, "crawl_run")
     figure = F.greatest(F.coalesce(F.col("fetched_count"), F.lit(0)), F.lit(0))
@@ -170,4 +198,4 @@ def p7_source_units(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES = {"p1_found": p1_found, "p1_values": p1_values, "p2_found": p2_found, "p2_flags": p2_flags, "p6_found": p6_found, "p6_totals": p6_totals, "p7_found": p7_found, "p7_amounts": p7_amounts, "p7_source_units": p7_source_units}
-ORACLE = {"p1_found": P1_FOUND_SQL, "p1_values": P1_VALUES_SQL, "p6_found": P6_FOUND_SQL, "p6_totals": P6_TOTALS_SQL}
+ORACLE = {"p1_found": P1_FOUND_SQL, "p1_values": P1_VALUES_SQL, "p2_found": P2_FOUND_SQL, "p2_flags": P2_FLAGS_SQL, "p6_found": P6_FOUND_SQL, "p6_totals": P6_TOTALS_SQL}

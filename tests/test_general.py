@@ -5,6 +5,7 @@ import random
 from decimal import Decimal
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -165,16 +166,61 @@ def test_stuck(spark):
 
 @pytest.mark.parametrize("n", [1, 2, 5, 40, 200])
 def test_running_median(n):
-    x = np.random.default_rng(n).normal(size=n)
+    rng = np.random.default_rng(n)
+    x, days = rng.normal(size=n), np.arange(n)
     for reach in (1, 4, 16):
-        assert np.allclose(spikes._smooth(x, reach), [np.median(x[max(0, i - reach) : i + reach + 1]) for i in range(n)])
+        assert np.allclose(spikes._smooth(x, days, reach), [np.median(x[max(0, i - reach) : i + reach + 1]) for i in range(n)])
+    days = np.cumsum(rng.integers(1, 9, n))  # windows go by the calendar, not by the rows
+    for reach, least in ((1, 0), (16, 0), (4, 2)):
+        near = [{j for j in range(n) if abs(days[j] - days[i]) <= reach} | set(range(max(0, i - least), min(n, i + least + 1))) for i in range(n)]
+        assert np.allclose(spikes._smooth(x, days, reach, least), [np.median(x[sorted(js)]) for js in near])
 
 
 def test_wavelet_sums_to_the_series():
     x = np.log1p(np.array([random.Random(1).randrange(100) for _ in range(77)], float))
-    details, rest = spikes.median_wavelet(x)
+    details, rest = spikes.median_wavelet(x, np.arange(77))
     assert len(details) == 5 and np.allclose(sum(details) + rest, x)
-    assert [len(d) for d in spikes.median_wavelet(np.array([1.0]))[0]] == [1] * 5
+    assert [len(d) for d in spikes.median_wavelet(np.array([1.0]), np.array([3]))[0]] == [1] * 5
+
+
+def block(values, block=0, start=0):
+    days = np.arange(start, start + len(values))
+    return spikes._block(pd.DataFrame({"source": "o", "day": [day(int(i)) for i in days], "day_no": days, "value": values, "block": block}))
+
+
+def test_each_scale_has_its_own_threshold(monkeypatch):
+    rng = random.Random(3)
+    calm, loud = ([60 + rng.randrange(-n, n + 1) for _ in range(200)] for n in (2, 20))
+    calm[50], loud[50] = 72, 72  # far from a calm source's habit, within a loud one's
+    assert block(calm)["candidate"][50] and not block(loud)["candidate"][50]
+    calm[100:106] = [1000] * 6  # wide: the coarse scales see it, the finest only its ends
+    details, _ = spikes.median_wavelet(np.log1p(np.array(calm, float)), np.arange(200))
+    assert abs(details[0][102]) < 1e-9 and block(calm)["candidate"][100:106].all()
+    monkeypatch.setattr(spikes, "beyond", lambda d: np.zeros(len(d[0]), dtype=bool))
+    assert not block(calm)["candidate"].any()
+
+
+def test_no_case_is_missed_by_the_coefficients():
+    rng = np.random.default_rng(7)
+    for _ in range(300):
+        values = np.round(np.exp(rng.normal(4, rng.choice([0.1, 0.5, 1.5]), rng.integers(1, 90)))).astype(int)
+        out = block(values)
+        off = ((out["value"] > 5 * out["level"]) & (out["value"] - out["level"] > 50)) | (out["value"] < out["level"] / 10)
+        assert out["candidate"][off].all()
+
+
+def test_blocks_meet(spark):
+    rng = random.Random(6)
+    counts = [50 + rng.randrange(0, 20) for _ in range(800)]
+    counts[360:368], counts[365 + 366] = [64] * 8, 900
+    start = spikes.BLOCK * 56 - (D - dt.date(1970, 1, 1)).days
+    assert found(spark, series(counts, start=start)) == {*range(360, 368), 731}
+    assert len(flags(spark, series(counts, start=start) + series([5], start=2_900_000, first_id=5000))) == 801  # a date thousands of years off
+
+
+def test_a_weekly_source_keeps_to_its_weeks(spark):
+    rows = [(i, "w", day(7 * i), 1, "ok", 100 if i < 20 else 900, 0, 0) for i in range(40)]
+    assert found(spark, rows) == set() and flags(spark, rows)[25]["level"] == 900
 
 
 # 6
