@@ -12,11 +12,13 @@ the identities and takes the one with the smallest log residual; two that fit
 equally well (within ``TIE``) make the solution non-unique and are flagged. ``source_units``
 sums the residuals over all unit-less rows of a source, which tells a source
 whose declared unit is missing or wrong. ``read_price`` settles what the text
-itself states; a stored amount whose residual against it is not zero is wrong.
+itself states: its unit is a combination like the others. A stored amount is right
+where that combination, without a tax step, is the one that fits, and leaves nothing.
 
 Defined cases: null, empty and dash texts, undisclosed prices and ranges state
-no amount; several different amounts in one text state none; a null or
-unreadable source note declares nothing; numbers of 10^17 or more state nothing.
+no amount; several different amounts in one text state none; amounts in another
+currency are no amounts; a null or unreadable source note declares nothing;
+numbers of 10^22 or more, beyond any column, state nothing.
 A number of more than six decimals takes
 its stated unit in, then is rounded. Whole texts are read, however long: stretches of blanks count as one, and no
 pattern starts again inside a number.
@@ -41,6 +43,10 @@ UNDISCLOSED = ("非公表", "非公開", "公表しない", "公表せず", "公
 INCLUDED = ("税込", "内税", "税を含", "税額を含", "税等を含", "税含", "込み", "tax included", "incl. tax", "including tax", "tax incl", "included", "inclusive")
 EXCLUDED = ("税抜", "外税", "税別", "税を除", "税額を除", "税等を除", "税は含まない", "税を含まない", "税含まず", "税を含まず", "抜き", "別途", "excl", "without tax", "before tax", "plus tax")
 
+# Other currencies, as they stand before and behind amounts.
+FOREIGN_BEFORE = "us$ a$ c$ nz$ hk$ s$ nt$ $ € £ ₩ usd eur gbp cny rmb krw chf aud cad nzd hkd twd sgd"
+FOREIGN_BEHIND = "ドル 米ドル 豪ドル ユーロ ポンド ウォン 人民元 スイスフラン dollars dollar euros euro pounds usd eur gbp cny rmb krw chf aud cad nzd hkd twd sgd $ € £ ₩"
+
 _NUM = r"\d+(?:,\d{3})*(?:\.\d+)?"
 _KANJI = "".join([*DIGITS, *TENS, *MYRIADS])
 #: A tax share stated beside the total: the total includes it.
@@ -58,6 +64,16 @@ _COUNTERS = r"(?:百万|十億|[千仟百]?[億万萬兆]|千|仟|百|十)"
 _MIXED = re.compile(rf"({_NUM})\s*({_COUNTERS})?")
 _WESTERN = re.compile(rf"(?<!\d)({_NUM})\s*(thousand|million|billion|mn|bn|k|m|b)\b")
 _WESTERN_FACTOR = {"thousand": 10**3, "k": 10**3, "million": 10**6, "mn": 10**6, "m": 10**6, "billion": 10**9, "bn": 10**9, "b": 10**9}
+
+def _either(signs: str) -> str:
+    return "|".join(re.escape(x) for x in sorted(signs.split(), key=len, reverse=True))
+
+
+#: An amount of another currency with its counters.
+_FOREIGN = re.compile(
+    rf"(?<![a-z])(?:{_either(FOREIGN_BEFORE)})\s*{_NUM}\s*(?:(?:{_COUNTERS})+|(?:thousand|million|billion|mn|bn|k|m|b)\b)?"
+    rf"|(?<![\d.,]){_NUM}\s*(?:(?:{_COUNTERS})(?:{_NUM})?)*\s*(?:thousand|million|billion|mn|bn)?\s*(?:{_either(FOREIGN_BEHIND)})(?![a-z])"
+)
 _CURRENCY = re.compile(r"円|[¥\\]|\bjpy\b|\byen\b")
 
 
@@ -125,6 +141,9 @@ def read_price(raw: str | None) -> tuple[Decimal | None, int | None, str, bool]:
     if _RANGE.search(s) or _spans(s):
         return None, None, basis, False
     s = _squeeze(re.sub(r"(?:税率|消費税率?)?\s*(?<!\d)\d+(?:\.\d+)?\s*%", " ", s))
+    s, others = _FOREIGN.subn(" ", s)
+    if others and not re.search(rf"\d|[{_KANJI}]+円", s):
+        return None, None, basis, False
     money = bool(_CURRENCY.search(s))
     if m := _WESTERN.search(s):
         rest = s[: m.start()] + s[m.end() :]
@@ -177,7 +196,7 @@ def declared_unit(note: str | None) -> int | None:
 
 _STATED = T.StructType(
     [
-        T.StructField("number", T.DecimalType(24, 6)),
+        T.StructField("number", T.DecimalType(28, 6)),
         T.StructField("unit", T.LongType()),
         T.StructField("basis", T.StringType()),
         T.StructField("undisclosed", T.BooleanType()),
@@ -199,7 +218,7 @@ def stated(raw: pd.Series) -> pd.DataFrame:
     """read_price of a column; equal texts of a batch are read once."""
     codes, texts = pd.factorize(raw, use_na_sentinel=True)
     read = [read_price(x) for x in texts] + [read_price(None)]
-    limit = Decimal(10) ** 17
+    limit = Decimal(10) ** 22
     rows = [(*_fitting(n if n is None or n < limit else None, u, limit), b, h) for n, u, b, h in (read[c] for c in codes)]
     out = pd.DataFrame(rows, columns=["number", "unit", "basis", "undisclosed"])
     out["unit"] = out["unit"].astype("Int64")
@@ -239,30 +258,28 @@ def to_base_units(rows: DataFrame, sources: DataFrame) -> DataFrame:
 
 
 def fit_units(converted: DataFrame) -> DataFrame:
-    """Adds fitted_unit, fitted_tax, residual, unique, stated_residual.
-
-    Of all combinations of a unit and a tax step (none, added, taken) the one
-    under which stored = number x unit x step holds best. Null where number or
-    stored is missing or not positive. unique is false where another combination
-    fits as well. stated_residual is that of the unit the text states, without a
-    tax step: exactly 0 only where the stored amount is the stated one, but for
-    the rounding of doubles.
+    """Adds fitted_unit, fitted_tax, residual, unique.
+
+    Of all combinations of a unit (``CANDIDATES`` and the one that the text or its
+    source states) and a tax step (none, added, taken) the one under which stored =
+    number x unit x step, in whole yen, holds best; of equal ones the stated unit
+    without a step, then the others without a step. Null where number or stored is missing or not positive. unique
+    is false where a combination that gives another amount fits as well.
     """
     number, stored = F.col("number").cast("double"), F.col("stored").cast("double")
     usable = (number > 0) & (stored > 0)
 
-    def off(unit: Column, step: float) -> Column:
-        return F.abs(F.log(stored / (number * unit.cast("double") * F.lit(step))))
+    def way(unit: Column, factor: Column, order: int, tax: str) -> Column:
+        return F.struct(F.abs(F.log(stored / F.greatest(factor, F.lit(1.0)))).alias("residual"), F.lit(order).alias("order"), factor.alias("amount"), unit.alias("unit"), F.lit(tax).alias("tax"))
 
-    ways = [F.struct(off(F.lit(u), step).alias("residual"), F.lit(i).alias("order"), F.lit(u).cast("bigint").alias("unit"), F.lit(tax).alias("tax")) for u in CANDIDATES for i, (tax, step) in enumerate(TAX_STEPS)]
-    fitted = converted.withColumn("_f", F.when(usable, F.slice(F.array_sort(F.array(*ways)), 1, 2)))
-    unique = (F.col("_f")[1]["residual"] - F.col("_f")[0]["residual"]) > TIE
-    return fitted.withColumns(
-        {
-            "fitted_unit": F.col("_f")[0]["unit"], "fitted_tax": F.col("_f")[0]["tax"], "residual": F.col("_f")[0]["residual"], "unique": unique,
-            "stated_residual": F.when(usable, off(F.col("unit"), 1.0)),
-        }
-    ).drop("_f")
+    ways = [way(F.col("unit"), F.col("amount").cast("double"), 0, "none")]
+    for tax, step in TAX_STEPS:
+        for unit in (F.col("unit"), *[F.lit(u).cast("bigint") for u in CANDIDATES]):
+            ways.append(way(unit, F.round(number * unit.cast("double") * step, 0), len(ways), tax))
+    fitted = converted.withColumn("_f", F.when(usable, F.array_sort(F.array(*ways))))
+    best = F.col("_f")[0]
+    as_well = F.exists("_f", lambda w: (w["amount"] != best["amount"]) & (w["residual"] - best["residual"] <= TIE))
+    return fitted.withColumns({"fitted_unit": best["unit"], "fitted_tax": best["tax"], "residual": best["residual"], "unique": ~as_well}).drop("_f")
 
 
 def source_units(converted: DataFrame) -> DataFrame:
@@ -290,9 +307,12 @@ def source_units(converted: DataFrame) -> DataFrame:
 def wrong_stored() -> Column:
     """True, of a frame from fit_units, where the text states one definite amount and the stored amount or basis is another.
 
-    A candidate is a row whose stated unit leaves a residual, or that has no
-    residual for want of a positive stored amount; the exact amounts then decide.
+    The amount is right where the fit ends at the stated unit without a tax step
+    and leaves no residual. Doubles do not tell apart amounts of more than 15
+    digits, so what the fit calls right is compared once more, exactly.
     """
-    amount, stored = F.col("amount"), F.col("stored").cast("decimal(38,0)")
-    candidate = F.col("stated_residual").isNull() | (F.col("stated_residual") != 0)
-    return amount.isNotNull() & ((candidate & ~stored.eqNullSafe(amount)) | ~F.col("stored_basis").eqNullSafe(F.col("basis")))
+    fits = (F.col("fitted_unit") == F.col("unit")) & (F.col("fitted_tax") == "none") & (F.col("residual") == 0)
+    nothing = (F.col("amount") == 0) & (F.col("stored") == 0)  # no logarithm
+    same = F.col("stored").cast("decimal(38,0)") == F.col("amount")
+    right = F.coalesce((fits | nothing) & same, F.lit(False))
+    return F.col("amount").isNotNull() & (~right | ~F.col("stored_basis").eqNullSafe(F.col("basis")))

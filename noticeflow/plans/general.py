@@ -7,6 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from noticeflow.functions import money
 from noticeflow.operators import snapshot_diff, spikes, trailing, units
 from noticeflow.storage import read, shared_folder
 
@@ -187,7 +188,7 @@ def p7_amounts(spark: SparkSession, d: str) -> DataFrame:
     """Every price in yen with its basis, where its unit came from, and the unit that the stored price would need."""
     fitted = units.fit_units(_converted(spark, d))
     return fitted.select(
-        F.col("key").alias("natural_key"), F.col("amount").cast("bigint").alias("price_yen"), "basis", "undisclosed", "unit", "unit_from",
+        F.col("key").alias("natural_key"), money.as_bigint(F.col("amount")).alias("price_yen"), "basis", "undisclosed", "unit", "unit_from",
         "fitted_unit", "fitted_tax", F.round("residual", 6).alias("residual"), F.col("unique").alias("unit_unique"),
     )
 

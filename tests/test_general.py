@@ -284,6 +284,27 @@ def test_long_price_texts_are_read_whole():
         units.read_price(text)
 
 
+@pytest.mark.parametrize("raw", ["50万ドル", "USD 500", "A$1,000", "$1.5 million", "2億5千万ユーロ", "1,000 euros", "￡300", "3 million usd"])
+def test_other_currencies_are_no_yen(raw):
+    assert units.read_price(raw)[:2] == (None, None)
+
+
+def test_yen_beside_another_currency():
+    assert units.read_price("500ドル（75,000円）")[:2] == (Decimal(75000), 1) and units.read_price("USD 500 / JPY 75,000 税込")[:3] == (Decimal(75000), 1, "included")
+    assert units.read_price("三万円（200米ドル）")[:2] == (Decimal(30000), 1) and units.read_price("公園 1,000円")[0] == 1000
+
+
+def test_the_fit_decides(spark, monkeypatch):
+    rows = [("right", "5千円", 5000), ("scale", "5千円", 5), ("taxed", "5千円", 5500), ("near", "5千円", 5001), ("billion", "2 billion yen", 2 * 10**9), ("one", "1円", 1), ("zero", "0円", 0), ("none", "0円", None), ("far", "9千兆円", 9 * 10**15), ("off", "9千兆円", 9 * 10**15 + 1), ("huge", "9" * 21 + "円", 1)]
+    df = spark.createDataFrame([(k, "s", raw, stored, "unknown") for k, raw, stored in rows], "key string, source string, raw string, stored bigint, stored_basis string")
+    fitted = units.fit_units(units.to_base_units(df, spark.createDataFrame([], "source string, note string")))
+    assert {r["key"] for r in fitted.where(units.wrong_stored()).collect()} == {"scale", "taxed", "near", "none", "off", "huge"}
+    got = {r["key"]: (r["fitted_unit"], r["fitted_tax"]) for r in fitted.collect()}
+    assert got["scale"] == (1, "none") and got["taxed"] == (1, "added") and got["billion"][1] == "none"
+    other = fitted.withColumn("fitted_unit", F.lit(-1))  # without the fit's answer nothing is right
+    assert {r["key"] for r in other.where(units.wrong_stored()).collect()} == {k for k, *_ in rows} - {"zero"}
+
+
 def test_fine_numbers_fit_the_column(spark):
     df = spark.createDataFrame([(1, "1.12345678円"), (2, "0.12345678 million yen"), (3, "1." + "1" * 400), (4, "9" * 400)], "id int, raw string")
     got = {r["id"]: (r["x"]["number"], r["x"]["unit"]) for r in df.select("id", units.stated("raw").alias("x")).collect()}
