@@ -295,7 +295,7 @@ def test_yen_beside_another_currency():
 
 
 def test_the_fit_decides(spark, monkeypatch):
-    rows = [("right", "5千円", 5000), ("scale", "5千円", 5), ("taxed", "5千円", 5500), ("near", "5千円", 5001), ("billion", "2 billion yen", 2 * 10**9), ("one", "1円", 1), ("zero", "0円", 0), ("none", "0円", None), ("far", "9千兆円", 9 * 10**15), ("off", "9千兆円", 9 * 10**15 + 1), ("huge", "9" * 21 + "円", 1)]
+    rows = [("right", "5千円", 5000), ("scale", "5（単位：千円）", 5), ("taxed", "5千円", 5500), ("near", "5千円", 5001), ("billion", "2 billion yen", 2 * 10**9), ("one", "1円", 1), ("zero", "0円", 0), ("none", "0円", None), ("far", "9千兆円", 9 * 10**15), ("off", "9千兆円", 9 * 10**15 + 1), ("huge", "9" * 21 + "円", 1)]
     df = spark.createDataFrame([(k, "s", raw, stored, "unknown") for k, raw, stored in rows], "key string, source string, raw string, stored bigint, stored_basis string")
     fitted = units.fit_units(units.to_base_units(df, spark.createDataFrame([], "source string, note string")))
     assert {r["key"] for r in fitted.where(units.wrong_stored()).collect()} == {"scale", "taxed", "near", "none", "off", "huge"}
