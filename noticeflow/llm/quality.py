@@ -2,7 +2,8 @@
 
 A text is cut into lines; lines that only a hard line end separates are joined
 again, and what remains is cut into sentences. Each stretch is prose if it is
-built like a sentence: function words and endings in an order that language
+built like a sentence of Japanese, English or one of six other languages in Latin
+script: function words and endings in an order that language
 has, enough words, not a repetition of itself, not cells. Everything else is a
 list item, a table row or junk. The verdict goes by the share of visible
 characters in prose, so a heading, a short list or a short table does not make
@@ -42,14 +43,26 @@ VERBAL_EN = "is are was were be been being will would shall should must may migh
 # English words that both sentences and names of things have.
 LINKING_EN = "the a an of and or to in on for with no all any each every other such"
 
+# Function words of other languages in Latin script, a line each: German, French, Spanish, Italian, Portuguese, Dutch.
+FUNCTION_WORDS = """
+der die das den dem des ein eine einen einem einer und oder aber nicht ist sind war wird werden wurde hat haben kann muss mit von zu zum zur im in am an auf aus bei für durch nach vor über unter wenn dass als wie auch nur sich es er sie wir
+le la les un une des du de et ou mais ne pas est sont était sera être a ont avec pour par dans sur sous entre au aux ce cette ces qui que dont il elle nous vous ils si plus comme son sa ses leur en
+el la los las un una unos del de y o pero no es son era será fue ha han con para por en sobre entre al este esta estos que quien se su sus lo como si más también cuando
+il lo la i gli le un una del della dei delle di e o ma non è sono era sarà ha hanno con per da dal nel nella su tra fra al alla questo questa che chi si suo sua come se più anche quando
+o a os as um uma do da dos das de e ou mas não é são era será foi tem com para por em no na nos nas sobre entre ao à este esta que quem se seu sua como mais também quando
+de het een en of maar niet is zijn was wordt worden werd heeft hebben kan moet met van te voor door in op aan bij uit na over onder als dat die dit deze ook niet zich er wij zij hun
+"""
+
 #: Han characters and their iteration mark, as a character class.
 _HAN = r"⺀-⿟々〇〡-〩〸-〻㐀-䶿一-鿿豈-﫿\U00020000-\U000323af"
 _ENDINGS = re.compile("|".join(sorted(ENDINGS_JA.split(), key=len, reverse=True)))
 _VERBAL = frozenset(VERBAL_EN.split())
 _LINKING = frozenset(LINKING_EN.split())
+_TONGUES = [frozenset(line.split()) for line in FUNCTION_WORDS.strip().splitlines()]
 _KANA_KANJI = re.compile(rf"[ぁ-ゖァ-ヺー{_HAN}]")
 _WORD = re.compile(rf"[A-Za-zÀ-ɏ]+(?:['’][a-z]+)?|\d+|[ァ-ヺー]+|[{_HAN}]+|[ぁ-ゖ]+")
 _EN_WORD = re.compile(rf"(?<![A-Za-z])[A-Za-z]+(?:['’][a-z]+)?(?![A-Za-z])")
+_LATIN_WORD = re.compile(r"[^\W\d_]+")
 _LINE = re.compile(r"\r\n|[\n\r\v\f\x1c-\x1e\x85  ]")
 _ODD_LINE = re.compile(r"[\r\v\f\x1c-\x1e\x85\u2028\u2029]")
 _SENTENCE = re.compile(r"[^。．！？!?.]*(?:[。．！？!?]+|\.(?=\s|$)|\.(?!\s)|$)[」』）)\"']*")
@@ -123,14 +136,11 @@ def sentence_length(s: str) -> int:
         varied = len(set(s)) * 3 >= len(s)
     else:
         words = [w.lower() for w in _EN_WORD.findall(s)]
-        if len(words) < 5 or sum(map(len, words)) * 10 < seen * 6:
-            return 0
-        if sum(len(w) > 1 for w in words) * 10 < len(words) * 8 or len(_BETWEEN.findall(s)) * 4 > len(words):
-            return 0
-        verbal = sum(w in _VERBAL for w in words)
+        if not _english(s, words, seen):
+            words = [w.lower() for w in _LATIN_WORD.findall(s)]
+            if not _other_tongue(s, words, seen):
+                return 0
         varied = len(set(words)) * 2 >= len(words)
-        if (verbal + sum(w in _LINKING for w in words)) * 5 < len(words) or not verbal and (len(words) < 9 or not _ended(s.rstrip())):
-            return 0
     if any(c in s for c in "={}<>;") or "(cid:" in s:
         if len(_MARKUP.findall(s)) * 20 > seen:
             return 0
@@ -138,6 +148,29 @@ def sentence_length(s: str) -> int:
     return seen if varied or len({s[i : i + 4] for i in range(len(s) - 3)}) * 2 >= len(s) - 3 else 0
 
 
+def _worded(s: str, words: list[str], seen: int) -> bool:
+    """Whether a stretch consists of words rather than of numbers, single letters or items."""
+    if len(words) < 5 or sum(map(len, words)) * 10 < seen * 6:
+        return False
+    return sum(len(w) > 1 for w in words) * 10 >= len(words) * 8 and len(_BETWEEN.findall(s)) * 4 <= len(words)
+
+
+def _english(s: str, words: list[str], seen: int) -> bool:
+    if not _worded(s, words, seen):
+        return False
+    verbal = sum(w in _VERBAL for w in words)
+    if (verbal + sum(w in _LINKING for w in words)) * 5 < len(words):
+        return False
+    return bool(verbal) or len(words) >= 9 and _ended(s.rstrip())
+
+
+def _other_tongue(s: str, words: list[str], seen: int) -> bool:
+    """Whether a stretch is a sentence of another language in Latin script: ended, and held together by function words of one."""
+    if not _ended(s.rstrip()) or not _worded(s, words, seen):
+        return False
+    return any(sum(w in tongue for w in words) * 4 >= len(words) and len(tongue.intersection(words)) >= 3 for tongue in _TONGUES)
+
+
 #: Share of a sentence's hiragana that endings and connectives must cover.
 COVER = 0.2
 

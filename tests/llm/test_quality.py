@@ -34,6 +34,25 @@ def test_prose_said_twice(text):
     assert Q.statistics(text, COMMON)[-1] == "prose"
 
 
+OTHER_TONGUES = [
+    "Die Arbeiten sind bis zum 11. Dezember abzuschließen. Der Auftragnehmer muss die Unterlagen mit dem Angebot einreichen. Wenn die Frist nicht eingehalten wird, kann der Auftraggeber von dem Vertrag zurücktreten.",
+    "Le titulaire doit remettre les documents avec son offre avant la date limite. Les travaux sont exécutés dans un délai de trois mois. Si le délai n'est pas respecté, le contrat est résilié par la ville.",
+    "El contratista debe presentar los documentos con la oferta antes de la fecha límite. Los trabajos se realizan en un plazo de tres meses y no se pueden prorrogar.",
+    "Il fornitore deve presentare i documenti con la propria offerta entro la data indicata. I lavori sono eseguiti in un periodo di tre mesi e non si possono prorogare.",
+    "De aannemer moet de documenten met de offerte indienen voor de gestelde datum. Het werk wordt in een periode van drie maanden uitgevoerd en kan niet worden verlengd.",
+]
+
+
+@pytest.mark.parametrize("text", OTHER_TONGUES)
+def test_prose_of_other_languages(text):
+    assert Q.statistics(text, COMMON)[-1] == "prose"
+
+
+@pytest.mark.parametrize("text", ["Müller GmbH\nSchröder & Söhne AG\nBäckerei König\nFrançois Générale S.A.", "Feuermelder, Drucker, Schränke, Stühle, Tische, Lampen, Türen.", "straße haus baum tisch stuhl lampe fenster dach wand boden keller garten zaun tor weg."])
+def test_names_and_items_of_other_languages(text):
+    assert Q.statistics(text, COMMON)[-1] in ("list", "junk")
+
+
 @pytest.mark.parametrize("text", [None, "", " \n　\t", "​"])
 def test_empty(text):
     assert Q.statistics(text, COMMON)[-1] == "empty"
