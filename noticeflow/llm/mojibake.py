@@ -3,8 +3,9 @@
 1. Corpus statistics: characters and adjacent pairs of all lines that hold only
    ASCII, kana, first-level kanji and ordinary Japanese punctuation. A garbled
    stretch nearly always holds something else, so it does not vouch for itself.
-   Pairs are counted in ``BUCKETS`` hash buckets, which bounds what is gathered
-   and broadcast (4 MB), whatever the corpus.
+   Such lines are written in an alphabet of some 3 700 characters, so pairs are
+   counted exactly, in a table whose size does not depend on the corpus (27 MB
+   where it is broadcast).
 2. Every adjacent pair of a text is scored by mutual information: pairs seen
    more often than chance speak against garbling, pairs with a character that
    the corpus lacks, or seen far less often than chance, for it.
@@ -13,7 +14,9 @@
    characters back to bytes in each encoding that may have been used wrongly,
    the bytes to text in each that may have been right; twice for text garbled
    twice. The mapping whose result consists of corpus characters and probable
-   pairs wins; a few bytes may be lost.
+   pairs wins; a few bytes may be lost. A run that becomes no Japanese is tried
+   as text in Latin script, stretch by stretch: every byte of a stretch must take
+   part in a strict decoding to accented letters, quotation marks, dashes or signs.
 5. A run that no mapping restores is garbled only if it bears the marks of
    decoding: replacement characters, C1 controls, private-use characters, or a
    dense run of high Latin letters and signs that no word has.
@@ -30,6 +33,7 @@ the replacement character; a text without any run is returned as it is.
 from __future__ import annotations
 
 import codecs
+import re
 from collections.abc import Iterable, Iterator
 from functools import cached_property
 
@@ -42,11 +46,12 @@ from pyspark.sql import functions as F
 from noticeflow.llm.lookalike import _TABLE, compose
 from noticeflow.storage import spread
 
-BUCKETS = 1 << 20
 #: A character counts as known to the corpus from this share of its characters, and this often, on.
 KNOWN_SHARE, KNOWN_TIMES = 2e-7, 2
 #: The least score of an improbable run.
 RUN_SCORE = 2.5
+#: The same where strict decoding to Latin script is asked for: two pairs in a row suffice.
+LATIN_SCORE = 1.5
 
 # Encodings used wrongly, encodings that were right.
 WRONG = ("cp1252", "latin-1", "cp932", "gbk", "mac_roman", "cp1251", "euc_jp", "koi8_r", "cp437", "cp850", "cp1250", "cp949", "big5", "cp1253", "cp1254", "iso8859_15")
@@ -115,13 +120,13 @@ def _form(ch: str) -> str:
     return got
 
 
-def _pair_buckets(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    with np.errstate(over="ignore"):
-        x = a.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) ^ (b.astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F))
-        x ^= x >> np.uint64(31)
-        x *= np.uint64(0xBF58476D1CE4E5B9)
-        x ^= x >> np.uint64(29)
-    return (x & np.uint64(BUCKETS - 1)).astype(np.int64)
+#: The characters of countable lines, in order; a pair has the index of its first times their number plus that of its second.
+ALPHABET = np.array([c for c in range(0x10000) if not 0xD800 <= c < 0xE000 and _known_line_char(c)], np.uint32)
+LETTERS = len(ALPHABET)
+#: Pairs there can be.
+BUCKETS = LETTERS * LETTERS
+_INDEX = np.full(0x110000, LETTERS, np.int32)
+_INDEX[ALPHABET] = np.arange(LETTERS, dtype=np.int32)
 
 
 def count_pairs(texts: Iterator[str | None], singles: dict[int, int], pairs: np.ndarray) -> None:
@@ -146,7 +151,7 @@ def count_pairs(texts: Iterator[str | None], singles: dict[int, int], pairs: np.
     for c, n in zip(*np.unique(x, return_counts=True), strict=True):
         singles[int(c)] = singles.get(int(c), 0) + int(n)
     same = line[1:] == line[:-1]
-    np.add.at(pairs, _pair_buckets(x[:-1][same], x[1:][same]), 1)
+    np.add.at(pairs, _INDEX[x[:-1][same]].astype(np.int64) * LETTERS + _INDEX[x[1:][same]], 1)
 
 
 class Statistics:
@@ -156,7 +161,19 @@ class Statistics:
         self.total = max(1, sum(singles.values()))
         least = max(KNOWN_TIMES, self.total * KNOWN_SHARE)
         self.singles = {c: n for c, n in singles.items() if n >= least}
-        self.pairs = pairs
+        self.mutual = self._mutual(pairs)
+
+    def _mutual(self, pairs: np.ndarray) -> np.ndarray:
+        """Mutual information of every pair of the alphabet; nan for what the corpus lacks, and in the last row and column."""
+        n = self.table[ALPHABET].astype(float)
+        out = np.full((LETTERS + 1, LETTERS + 1), np.nan, np.float16)
+        known = np.flatnonzero(n)
+        for i in known.tolist():
+            expected = n[i] * n[known] / self.total
+            seen = pairs[i * LETTERS + known].astype(float)
+            with np.errstate(divide="ignore"):
+                out[i, known] = np.where(seen > 0, np.log2(seen / expected), np.where(expected > 2, -np.log2(expected + 1), 0.0))
+        return out
 
     @cached_property
     def table(self) -> np.ndarray:
@@ -177,14 +194,8 @@ class Statistics:
 
         nan where a character is unknown; 0 where chance would not expect to see the pair once.
         """
-        if len(codes) < 2:
-            return np.zeros(0)
-        n = self.table[codes].astype(float)
-        seen = self.pairs[_pair_buckets(codes[:-1], codes[1:])].astype(float)
-        expected = n[:-1] * n[1:] / self.total
-        with np.errstate(divide="ignore", invalid="ignore"):
-            got = np.where(seen > 0, np.log2(seen / expected), np.where(expected > 2, -np.log2(expected + 1), 0.0))
-        return np.where((n[:-1] == 0) | (n[1:] == 0), np.nan, got)
+        at = _INDEX[codes]
+        return self.mutual[at[:-1], at[1:]].astype(float)
 
     def suspicion(self, s: str) -> np.ndarray:
         """Of each adjacent pair: positive speaks for garbling."""
@@ -247,6 +258,21 @@ for _wrong in WRONG:
     codecs.register_error(f"noticeflow-{_wrong}", _handler(_wrong))
 
 
+# Encodings that text in Latin script is wrongly read in, and the UTF-8 of what it then was: letters of
+# Latin-1 and its signs, dashes and quotation marks, ellipsis, per mille, euro, trade mark.
+LATIN_WRONG = ("cp1252", "latin-1", "mac_roman", "cp437", "cp850", "cp1250", "cp1254", "iso8859_15")
+_LATIN_BYTES = re.compile(rb"(?:\xc3[\x80-\xbf]|\xc2[\xa0-\xbf]|\xe2\x80[\x90-\xa6\xb0\xb2\xb3\xb9\xba]|\xe2\x82\xac|\xe2\x84\xa2)+")
+_BEYOND_ASCII = regex.compile(r"[^\x00-\x7f]{2,}")
+
+
+def _strict(ch: str, wrong: str) -> bytes | None:
+    """The one byte of a character, in that encoding or let through as a control."""
+    try:
+        return ch.encode(wrong)
+    except UnicodeEncodeError:
+        return bytes([ord(ch)]) if 0x80 <= ord(ch) < 0xA0 else None
+
+
 def _raw(run: str, wrong: str) -> bytes | None:
     """The bytes that a run was before its wrong decoding, 0xFF for a lost one; None if hardly any character was one of that encoding."""
     raw = run.encode(wrong, f"noticeflow-{wrong}")
@@ -318,6 +344,24 @@ class Restorer:
         thick = dense >= 4 and high > 2 * letters or beside >= 3 and high >= 6 and high * 3 >= len(run)
         return thick and signs * 8 >= high  # words have letters, decoding also gives signs
 
+    def latin(self, run: str) -> tuple[str, bool]:
+        """(the run with those stretches restored that are text in Latin script, decoded wrongly; whether that is all there was, among letters of words)."""
+        left, restored = False, 0
+
+        def undo(m: regex.Match) -> str:
+            nonlocal left, restored
+            for wrong in LATIN_WRONG:
+                raw = b"".join(_strict(ch, wrong) or b"\xff" for ch in m[0])
+                if _LATIN_BYTES.fullmatch(raw):
+                    restored += len(raw.decode("utf-8"))
+                    return raw.decode("utf-8")
+            left = left or not all(map(self.s.known, filter(None, map(_form, m[0]))))
+            return m[0]
+
+        original = _BEYOND_ASCII.sub(undo, run)
+        letters = sum(c.isascii() and c.isalpha() for c in original)
+        return original, not left and 0 < 2 * restored <= letters
+
     def restore(self, text: str) -> tuple[bool, str, bool]:
         """(garbled, text restored as far as possible, restored wholly)."""
         if text.isascii():
@@ -326,15 +370,16 @@ class Restorer:
         form = "".join(u[0] for u in got)
         scores = self.s.suspicion(form)
         runs = []
-        if len(scores) and scores[scores > 0].sum() >= RUN_SCORE:
-            runs = [(a, b) for a, b, score in maximal_segments(scores) if score >= RUN_SCORE]
+        if len(scores) and scores[scores > 0].sum() >= LATIN_SCORE:
+            runs = [run for run in maximal_segments(scores) if run[2] >= LATIN_SCORE]
         out, at, garbled, whole = [], 0, False, True
-        for a, b in runs:  # pairs a .. b - 1 are characters a .. b
+        for a, b, score in runs:  # pairs a .. b - 1 are characters a .. b
             start, end = got[a][1], got[b][2]
             if start < at:
                 continue
             ends = []
-            _, hopeful = self.decode(text[start:end])
+            latin, words = self.latin(text[start:end])
+            hopeful = self.decode(text[start:end])[1] if score >= RUN_SCORE and not words else []
             # the run's ends may each reach over one sound character, or leave out an ASCII byte of a garbled one
             for s in {start, got[a + 1][1], got[max(a - 1, 0)][1]}:
                 for e in {end, got[b - 1][2], got[min(b + 1, len(got) - 1)][2]}:
@@ -347,7 +392,10 @@ class Restorer:
                 out += [text[at:s], original]
                 at, garbled = e, True
                 whole = whole and "�" not in original
-            elif self.marked(text[start:end]):
+            elif latin != text[start:end]:
+                out += [text[at:start], latin]
+                at, garbled = end, True
+            elif score >= RUN_SCORE and self.marked(text[start:end]):
                 garbled, whole = True, False
         out.append(text[at:])
         shifted, rest, all_ = self._shifted("".join(out))
@@ -381,8 +429,9 @@ class Restorer:
 def gather(texts: DataFrame) -> Statistics:
     """Statistics over every row of ``texts`` (one string column).
 
-    Each partition sums its own counts; what reaches the driver is one row per
-    bucket and per counted character: at most BUCKETS + some 7 000 rows.
+    Each partition sums its own counts, whole ones of 64 bits; what reaches the
+    driver is one row per pair that occurs and per counted character. The alphabet
+    bounds both: 14 million pairs there can be, of which a language uses a tenth.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -397,8 +446,8 @@ def gather(texts: DataFrame) -> Statistics:
 
     counted = texts.mapInArrow(run, "k bigint, n bigint").groupBy("k").agg(F.sum("n").alias("n")).toArrow()
     k, n = counted.column("k").to_numpy(), counted.column("n").to_numpy()
-    pairs = np.zeros(BUCKETS, np.uint32)
-    pairs[k[k >= 0]] = np.minimum(n[k >= 0], 2**32 - 1)
+    pairs = np.zeros(BUCKETS, np.int64)
+    pairs[k[k >= 0]] = n[k >= 0]
     return Statistics({int(-1 - c): int(v) for c, v in zip(k[k < 0], n[k < 0], strict=True)}, pairs)
 
 

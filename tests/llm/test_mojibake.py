@@ -85,3 +85,39 @@ def test_spark(spark):
     assert got == [("1", True, TITLE), ("1", True, TITLE), ("2", False, TITLE), ("3", False, ""), ("3", False, "")]
     assert M.examine(df.limit(0), M.gather(corpus.limit(0))).count() == 0
     assert M.examine(df, M.gather(corpus.limit(0))).count() == 5  # no corpus: nothing is known, nothing crashes
+
+
+LATIN = ["don’t", "Müller", "naïve façade in Zürich", "5€", "Café", "“quoted” – and so on…", "Señor Núñez", "20 °C ± 1"]
+
+
+@pytest.mark.parametrize("text", LATIN)
+@pytest.mark.parametrize("wrong", ["cp1252", "latin-1", "mac_roman", "cp850"])
+def test_latin_script(restorer, text, wrong):
+    assert restorer.restore(garble(text, "utf-8", wrong)) == (True, text, True)
+    assert restorer.restore("工事 " + garble(text, "utf-8", wrong) + " の件")[:2] == (True, "工事 " + text + " の件")
+    assert restorer.restore(text) == (False, text, True)
+
+
+@pytest.mark.parametrize("text", ["«CAFÉ»", "ÉTÉ – À L’ÉCOLE", "Â, Ã et Ä", "«DÉJÀ»", "naïveté"])
+def test_latin_left_alone(restorer, text):
+    assert restorer.restore(text) == (False, text, True)
+
+
+def test_counts_beyond_32_bits():
+    a, b, c = (ord(x) for x in "入札日")
+    pairs = np.zeros(M.BUCKETS, np.int64)
+    at = lambda x, y: M._INDEX[x] * M.LETTERS + M._INDEX[y]
+    pairs[at(a, b)], pairs[at(b, c)] = 2**40, 3
+    s = M.Statistics({a: 2**41, b: 2**41, c: 2**30}, pairs)
+    got = s.information(np.array([a, b, c, a, 0x2603], np.uint32))
+    total = 2**42 + 2**30
+    want = [np.log2(2**40 * total / 2**82), np.log2(3 * total / 2**71), -np.log2(2**71 / total + 1)]
+    assert np.allclose(got[:3], want, rtol=2e-3, atol=2e-3) and np.isnan(got[3])
+
+
+def test_a_pair_is_unseen_however_large_the_corpus():
+    rng = np.random.default_rng(1)
+    pairs = np.zeros(M.BUCKETS, np.int64)
+    pairs[rng.choice(M.BUCKETS, 2_000_000, replace=False)] = 1000  # more pairs than a million buckets could tell apart
+    s = M.Statistics({int(c): 10**9 for c in M.ALPHABET}, pairs)
+    assert np.isfinite(s.mutual[:-1, :-1]).all() and (s.mutual[:-1, :-1].ravel() == s.mutual[:-1, :-1].min()).sum() == M.BUCKETS - 2_000_000
