@@ -24,6 +24,8 @@ reach of every date; wordings of fewer than ``SHORT`` characters must be equal.
 
 from __future__ import annotations
 
+import hashlib
+
 import pandas as pd
 import regex
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -31,10 +33,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from noticeflow.llm.lookalike import fold
-from noticeflow.storage import materialize
+from noticeflow.storage import materialize, remove
 
 EDITS = 2
 SHORT = 6
+#: Wordings of a group that may share a segment and still be compared with each other by it.
+HOT = 500
+_PRIME, _BASE = (1 << 61) - 1, 0x1B873593CC9E2D51
 #: Days between two announcements of the same procurement.
 REACH = 14
 
@@ -197,16 +202,44 @@ def segment_index(entries: DataFrame) -> DataFrame:
     return _keyed(entries.select("group", "wording").distinct(), _index_segments)
 
 
+def without_one(s: str) -> list[int]:
+    """Hashes of a string and of it with each one of its characters left out, in time linear in its length."""
+    n, ahead, power = len(s), [0], [1]
+    for ch in s:
+        ahead.append((ahead[-1] * _BASE + ord(ch)) % _PRIME)
+        power.append(power[-1] * _BASE % _PRIME)
+    out, behind = {(ahead[n] * 31 + n) % _PRIME}, 0  # behind: the hash of what follows position p
+    for p in range(n - 1, -1, -1):
+        out.add(((ahead[p] * power[n - 1 - p] + behind) * 31 + n - 1) % _PRIME)
+        behind = (behind + ord(s[p]) * power[n - 1 - p]) % _PRIME
+    return sorted(out)
+
+
+@F.pandas_udf(T.ArrayType(T.LongType()))
+def _without_one(s: pd.Series) -> pd.Series:
+    return pd.Series([without_one(x) for x in s])
+
+
 def similar(probes: DataFrame, index: DataFrame) -> DataFrame:
     """(group, wording, other): wordings of ``probes`` (group, wording) and indexed ones that name the same.
 
-    A wording is always similar to itself.
+    A wording is always similar to itself. A segment that more than ``HOT``
+    wordings of a group have would pair them all, so its wordings meet by what is
+    left of them without one character instead: two that differ by one character
+    more or less, or by two swapped, leave the same. That finds all that
+    ``same_wording`` would let through, in rows proportional to the wordings.
     """
     mine = probes.select("group", "wording").distinct()
     keys = _keyed(mine, _probe_segments)
-    them = index.select(F.col("group").alias("group_b"), F.col("wording").alias("other"), F.col("key"))
-    met = keys.join(them, "key").where((F.col("group") == F.col("group_b")) & (F.col("wording") != F.col("other")))
-    near = met.where(F.levenshtein("wording", "other", EDITS) >= 0).select("group", "wording", "other").distinct()
+    them = index.select("group", F.col("wording").alias("other"), "key")
+    hot = index.groupBy("group", "key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > HOT).select("group", "key")
+    by_segment = keys.join(hot, ["group", "key"], "left_anti").join(them, ["group", "key"]).select("group", "wording", "other")
+    left = keys.join(hot, ["group", "key"], "left_semi").select("group", "wording").distinct()
+    right = them.join(hot, ["group", "key"], "left_semi").select("group", "other").distinct()
+    left = left.withColumn("rest", F.explode(_without_one("wording")))
+    right = right.withColumn("rest", F.explode(_without_one("other")))
+    met = by_segment.unionByName(left.join(right, ["group", "rest"]).select("group", "wording", "other")).where(F.col("wording") != F.col("other"))
+    near = met.where(F.levenshtein("wording", "other", EDITS) >= 0).distinct()
     return near.where(_same_wording("wording", "other")).unionByName(mine.withColumn("other", F.col("wording")))
 
 
@@ -228,24 +261,33 @@ def entries_of(rows: DataFrame) -> DataFrame:
     return worded.groupBy("group", "wording", "day").agg(F.min("order").alias("first"))
 
 
+def dated(entries: DataFrame) -> DataFrame:
+    """(group, wording, bin, day, first): entries in the bin of their date, and each wording once in the bin of rows without a date."""
+    each = entries.select("group", "wording", F.coalesce(_bin(F.col("day")), F.lit(_NONE)).alias("bin"), "day", "first")
+    whole = entries.groupBy("group", "wording").agg(F.min("first").alias("first"))
+    return each.unionByName(whole.select("group", "wording", F.lit(_ALL).alias("bin"), F.lit(None).cast("date").alias("day"), "first"))
+
+
 def repeats(batch: DataFrame, entries: DataFrame, keys: DataFrame, index: DataFrame) -> DataFrame:
     """Ids of batch rows (rows_of) that repeat an earlier one.
 
     ``entries`` (entries_of) and ``keys`` (key, first) cover history and batch;
     ``index`` their wordings.
     """
+    return _repeats(batch, dated(entries), keys, index)
+
+
+def _repeats(batch: DataFrame, entries: DataFrame, keys: DataFrame, index: DataFrame) -> DataFrame:
     by_key = batch.where("key is not null").join(keys, "key").where("first < order").select("id")
 
     # read by the index probe and by the look-up of entries, so titles are read once
     probes = materialize(batch.where("group is not null").select("id", "order", "group", "day", F.explode("wordings").alias("wording")))
-    dated = entries.select("group", F.col("wording").alias("other"), F.coalesce(_bin(F.col("day")), F.lit(_NONE)).alias("bin"), F.col("day").alias("other_day"), "first")
-    whole = entries.groupBy("group", "wording").agg(F.min("first").alias("first"))
-    whole = whole.select("group", F.col("wording").alias("other"), F.lit(_ALL).alias("bin"), F.lit(None).cast("date").alias("other_day"), "first")
+    them = entries.select("group", F.col("wording").alias("other"), "bin", F.col("day").alias("other_day"), "first")
     here = _bin(F.col("day"))
     bins = F.when(F.col("day").isNull(), F.array(F.lit(_ALL))).otherwise(F.array(here - 1, here, here + 1, F.lit(_NONE)))
     named = probes.join(similar(probes, index), ["group", "wording"]).withColumn("bin", F.explode(bins))
     near = F.col("other_day").isNull() | F.col("day").isNull() | (F.abs(F.datediff("day", "other_day")) <= REACH)
-    by_name = named.join(dated.unionByName(whole), ["group", "other", "bin"]).where((F.col("first") < F.col("order")) & near).select("id")
+    by_name = named.join(them, ["group", "other", "bin"]).where((F.col("first") < F.col("order")) & near).select("id")
     return by_key.unionByName(by_name).distinct()
 
 
@@ -255,37 +297,56 @@ def first_keys(rows: DataFrame) -> DataFrame:
 
 
 class AcceptedIndex:
-    """Everything accepted so far: segments, entries and keys in Parquet below ``folder``.
+    """Everything accepted so far: segments, entries and keys in bucketed Parquet below ``folder``.
 
-    ``judge`` reads a batch and the index, never the history's rows, and appends
-    the batch's part in a folder of its own, written last to first so that a
-    batch that failed half way can be judged again.
+    Each of the three lies in buckets of the columns it is looked up by, so a
+    batch is brought to the buckets and the history is read where it lies: never
+    its rows again, and without moving the index. ``judge`` appends the batch's
+    part, a folder of its own in each of the three, so that a batch that failed
+    half way can be judged again. The number of buckets belongs to the folder.
     """
 
-    def __init__(self, spark: SparkSession, folder: str):
-        self.spark, self.folder = spark, folder
-
-    def _read(self, what: str, schema: str) -> DataFrame:
-        jvm = self.spark._jvm
-        at = jvm.org.apache.hadoop.fs.Path(f"{self.folder}/{what}")
-        if not at.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(at):
-            return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(str(at))
-
     _ORDER = "struct<batch:int,row:bigint>"
+    #: What is stored -> columns, and those that its buckets go by.
+    _TABLES = {
+        "segments": ("group string, wording string, key bigint", ["group", "key"]),
+        "entries": (f"group string, wording string, bin int, day date, first {_ORDER}", ["group", "wording", "bin"]),
+        "keys": (f"key string, first {_ORDER}", ["key"]),
+    }
+
+    def __init__(self, spark: SparkSession, folder: str, buckets: int = 64):
+        self.spark, self.folder, self.buckets = spark, folder, buckets
+
+    def _name(self, what: str) -> str:
+        return f"noticeflow_accepted_{hashlib.sha256(self.folder.encode()).hexdigest()[:16]}_{what}"
+
+    def _write(self, what: str, rows: DataFrame, part: str) -> None:
+        _, by = self._TABLES[what]
+        name, at = self._name(f"{what}_part"), f"{self.folder}/{what}/part={part}"
+        self.spark.sql(f"DROP TABLE IF EXISTS {name}")
+        remove(self.spark, at)
+        rows.repartition(self.buckets, *by).write.bucketBy(self.buckets, *by).sortBy(*by).option("path", at).saveAsTable(name)
+        self.spark.sql(f"DROP TABLE {name}")  # of the catalogue; the files stay
+
+    def read(self, what: str) -> DataFrame:
+        """All parts of segments, entries or keys, in their buckets."""
+        columns, by = self._TABLES[what]
+        name, listed = self._name(what), ", ".join(f"`{c}`" for c in by)
+        self.spark.sql(f"DROP TABLE IF EXISTS {name}")
+        quoted = ", ".join("`{}` {}".format(*c.split(" ", 1)) for c in columns.split(", "))
+        self.spark.sql(f"CREATE TABLE {name} ({quoted}, part string) USING parquet PARTITIONED BY (part) CLUSTERED BY ({listed}) SORTED BY ({listed}) INTO {self.buckets} BUCKETS LOCATION '{self.folder}/{what}'")
+        self.spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
+        return self.spark.table(name).drop("part")
 
     def append(self, rows: DataFrame, part: str) -> None:
         """Add accepted rows (rows_of) as the part of that name, replacing it."""
-        entries = entries_of(rows)
-        segment_index(entries).write.mode("overwrite").parquet(f"{self.folder}/segments/{part}")
-        entries.write.mode("overwrite").parquet(f"{self.folder}/entries/{part}")
-        first_keys(rows).write.mode("overwrite").parquet(f"{self.folder}/keys/{part}")
+        entries = materialize(entries_of(rows))
+        self._write("segments", segment_index(entries), part)
+        self._write("entries", dated(entries), part)
+        self._write("keys", first_keys(rows), part)
 
     def judge(self, batch: DataFrame, part: str) -> DataFrame:
         """Ids of the batch's rows that repeat an accepted one or an earlier one of the batch; then the batch is appended."""
         self.append(batch, part)
-        # parts may repeat a wording or key of others: that repeats a finding, which repeats() makes distinct
-        segments_ = self._read("segments", "group string, wording string, key bigint")
-        entries = self._read("entries", f"group string, wording string, day date, first {self._ORDER}")
-        keys = self._read("keys", f"key string, first {self._ORDER}")
-        return repeats(batch, entries, keys, segments_)
+        # parts may repeat a wording or key of others: that repeats a finding, which is made distinct
+        return _repeats(batch, self.read("entries"), self.read("keys"), self.read("segments"))

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from noticeflow.llm import bpe, dedup, lookalike, mojibake, packing, quality
-from noticeflow.storage import materialize, read
+from noticeflow.operators.snapshot_diff import buckets_for
+from noticeflow.storage import materialize, read, remove, shared_folder
 
 TOKENIZER = "byte_bpe_50k"
 
@@ -22,9 +25,12 @@ def p3_found(spark: SparkSession, d: str) -> DataFrame:
     order = F.struct(F.coalesce("batch_no", F.lit(2**31 - 1)).alias("batch"), F.coalesce("row_id", F.lit(2**63 - 1)).alias("row"))
     batch = _rows(read(spark, d, "tender_batch").select("row_id", "batch_no", *named), order).where("id is not null")
     history = _rows(read(spark, d, "tender").select(*named), F.struct(F.lit(-(2**31)).alias("batch"), F.lit(0).cast("bigint").alias("row")))
-    every = history.unionByName(batch)
-    entries = materialize(dedup.entries_of(every))
-    found = dedup.repeats(batch, entries, dedup.first_keys(every), dedup.segment_index(entries))
+    at = f"{shared_folder(spark)}/accepted-{uuid.uuid4().hex}"
+    index = dedup.AcceptedIndex(spark, at, buckets=buckets_for(history))
+    index.append(history, "history")
+    # every row carries its place in the order of arrival, so the batches that lie here are judged as one
+    found = materialize(index.judge(batch, "batches"))
+    remove(spark, at)
     return found.withColumnRenamed("id", "row_id")
 
 

@@ -129,3 +129,62 @@ def test_empty(spark):
     none = prepared(spark, [], False)
     entries = dedup.entries_of(none)
     assert dedup.repeats(none, entries, dedup.first_keys(none), dedup.segment_index(entries)).count() == 0
+
+
+def test_the_history_is_not_moved(spark, tmp_path):
+    rng = random.Random(5)
+    index = dedup.AcceptedIndex(spark, str(tmp_path / "index"), buckets=3)
+    index.append(prepared(spark, rows(rng, 40, 1000), True), "history")
+    batch = prepared(spark, rows(rng, 20, 1), False)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = index.judge(batch, "b")._jdf.queryExecution().executedPlan().toString().split("\n")
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    scans = [i for i, line in enumerate(plan) if "FileScan" in line and "noticeflow_accepted" in line]
+    assert len(scans) == 3 and all("Bucketed: true" in plan[i] for i in scans)
+    indent = lambda line: len(line) - len(line.lstrip(" :+-"))
+    for i in scans:
+        depth, above = indent(plan[i]), []
+        for line in reversed(plan[:i]):  # what encloses the scan, from inside out
+            if indent(line) < depth:
+                depth = indent(line)
+                above.append(line)
+        upto = next(k for k, line in enumerate(above) if "Join" in line)
+        assert not any("Exchange" in line for line in above[:upto])
+
+
+def test_what_is_left_without_one():
+    rng = random.Random(9)
+    for _ in range(3000):
+        a = "".join(rng.choice("abcd") for _ in range(rng.randrange(6, 12)))
+        i = rng.randrange(len(a) - 1)
+        b = rng.choice([a, a[:i] + a[i + 1 :], a[:i] + "x" + a[i:], a[:i] + a[i + 1] + a[i] + a[i + 2 :]])
+        assert set(dedup.without_one(a)) & set(dedup.without_one(b))
+        assert len(dedup.without_one(a)) == len({a, *(a[:p] + a[p + 1 :] for p in range(len(a)))})
+    assert len(dedup.without_one("")) == 1 and len(dedup.without_one("あ" * 100_000)) == 2
+
+
+@pytest.mark.parametrize("hot", [0, 1, 5])
+def test_hot_segments_lose_nothing(spark, monkeypatch, hot):
+    rng = random.Random(4)
+    history, batch = rows(rng, 40, 1000), rows(rng, 60, 1)
+    old, new = prepared(spark, history, True), prepared(spark, batch, False)
+    every = old.unionByName(new)
+    entries = dedup.entries_of(every)
+    monkeypatch.setattr(dedup, "HOT", hot)
+    got = {r["id"] for r in dedup.repeats(new, entries, dedup.first_keys(every), dedup.segment_index(entries)).collect()}
+    assert got == brute(batch, history)
+
+
+def test_one_organization_of_many_wordings(spark):
+    import time
+
+    number = "conv(id * 7919 % 1000003, 10, 36)"
+    made = spark.range(100_000).selectExpr("'o' as `group`", f"concat({number}, '号庁舎清掃業務委託') as wording").distinct()
+    began = time.time()
+    got = dedup.similar(made, dedup.segment_index(made)).where("wording <> other")
+    assert got.where("levenshtein(wording, other) > 2").count() == 0
+    assert time.time() - began < 200  # all pairs of the common segments would be ten thousand millions
