@@ -1,12 +1,14 @@
 """Queries of the engine's own operators over the given tables, with their SQL.
 
-Where SQL has no counterpart (compatibility composition, era dates, lookbehind),
-a query has none; its operators are tested on fixtures.
+Compatibility composition, which SQL lacks, is written out as a table of the
+characters (``_nfkc_sql``); what the engine's expressions cannot look back or ahead
+for is taken in and put back.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import unicodedata
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,7 +17,7 @@ from noticeflow import schemas
 from noticeflow.functions import identity, money, temporal, text, urls
 from noticeflow.operators import data_health, digest, health, ingest, judge, lifecycle, match, metrics, runs
 from noticeflow.sources import html_listing
-from noticeflow.storage import read, spread
+from noticeflow.storage import materialize, read, spread
 
 NOW = dt.datetime(2026, 8, 29, 9, 0)
 _NOW = "TIMESTAMP '2026-08-29 09:00:00'"
@@ -23,6 +25,25 @@ QUERIES: dict = {}
 ORACLE: dict = {}
 
 
+def _nfkc_sql(x: str) -> str:
+    """Compatibility composition in SQL: characters with a counterpart of one character by table, some longer ones by name, then canonical composition."""
+    alone = [(chr(c), unicodedata.normalize("NFKC", chr(c))) for c in (*range(0xA0, 0xD800), *range(0xF900, 0xFFFE)) if c not in range(0xAC00, 0xD7A4)]
+    alone = [(a, b) for a, b in alone if a != b and len(b) == 1 and unicodedata.normalize("NFC", a) == a]
+    # all but the presentation forms of Arabic and Hebrew, which would nest too deep
+    by_rule = [chr(c) for c in (*range(0xA0, 0xD800), *range(0xFB00, 0xFB1D), *range(0xFE10, 0xFE70), *range(0xFF00, 0xFFFE)) if c not in range(0xAC00, 0xD7A4)]
+    for long in (c for c in by_rule if len(unicodedata.normalize("NFKC", c)) > 1):
+        x = f"replace({x}, '{long}', '{unicodedata.normalize('NFKC', long)}')"
+    return f"nfc_normalize(translate({x}, '{''.join(a for a, _ in alone)}', '{''.join(b for _, b in alone).replace(chr(39), chr(39) * 2)}'))"
+
+
+#: Blanks as a class that the SQL engine's expressions know.
+_BLANK_SQL = r"[\s\x{b}\x{1c}-\x{1f}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+
+
+def _flat_sql(x: str) -> str:
+    return f"trim(regexp_replace({_nfkc_sql(f"coalesce({x}, '')")}, '{_BLANK_SQL}+', ' ', 'g'))"
+
+
 def _query(sql: str | None = None):
     def add(f):
         QUERIES[f.__name__] = f
@@ -139,6 +160,20 @@ def r_revisions(spark: SparkSession, d: str) -> DataFrame:
     return _folded(spark, d).where("outcome = 'updated'").select("natural_key", "snapshot_date", "change_kind", "deadline_changed")
 
 
+@_query(
+    _OBSERVED
+    + f""", b AS (SELECT * EXCLUDE (current_revision, first_seen_at, last_seen_at), row_number() OVER (PARTITION BY natural_key ORDER BY snapshot_date) AS k FROM o),
+     c AS (SELECT b.*, a.natural_key IS NULL OR NOT ({_SAME}) AS counts FROM b LEFT JOIN b a ON a.natural_key = b.natural_key AND a.k = b.k - 1)
+SELECT natural_key, current_revision, status, title, method, source_url, bid_deadline_date, price_raw, first_seen_at, last_seen_at
+FROM c JOIN (SELECT natural_key, CAST(count_if(counts) AS INT) AS current_revision, max(k) FILTER (counts) AS k, min(delivered_at) AS first_seen_at, max(delivered_at) AS last_seen_at FROM c GROUP BY 1) USING (natural_key, k)"""
+)
+def r_current_state(spark: SparkSession, d: str) -> DataFrame:
+    """What is in force after all observations: the last that changed something, and when the notice was seen."""
+    folded = _folded(spark, d)
+    state = ingest.merge(spark.createDataFrame([], schemas.TABLES["tender"]), folded, ["snapshot_date"], "delivered_at")
+    return state.select("natural_key", "current_revision", "status", "title", "method", "source_url", "bid_deadline_date", "price_raw", "first_seen_at", "last_seen_at")
+
+
 @_query("""
 SELECT natural_key, CASE WHEN status = 'open' AND bid_deadline_date IS NOT NULL
          AND TIMESTAMP '2026-08-29 09:00:00' > CAST(strftime(bid_deadline_date, '%Y-%m-%d') || ' ' || coalesce(bid_deadline_time || ':00', '23:59:59') AS TIMESTAMP)
@@ -182,21 +217,86 @@ def r_keys(spark: SparkSession, d: str) -> DataFrame:
     return read(spark, d, "tender").select("natural_key", identity.natural_key(F.col("organization_id"), F.col("title_normalized"), a, b).alias("key"), identity.anchor_kind(a, b).alias("anchor"), identity.is_weak(a, b).alias("weak"))
 
 
-@_query()
+def _titles_sql() -> str:
+    steps = "s3"
+    for ch in "・-−ー~〜_":
+        steps = f"regexp_replace({steps}, '{chr(92) + ch if ch == '-' else ch}{{2,}}', '{ch}', 'g')"
+    methods = " ".join(f"WHEN contains(t, '{needle}') THEN '{method}'" for needle, method in text.METHODS)
+    edge = text.EDGE.replace("\\", "\\")
+    return f"""
+WITH a AS (SELECT natural_key, title, {_nfkc_sql('title')} AS n FROM tender),
+     b AS (SELECT *, regexp_replace(translate(n, '{text.BRACKETS}', ''), '{_BLANK_SQL}+', '', 'g') AS base, trim(regexp_replace(n, '{_BLANK_SQL}+', ' ', 'g')) AS t FROM a),
+     c AS (SELECT *, regexp_replace(base, '{text.FISCAL_YEAR}', '', 'g') AS s1 FROM b),
+     d AS (SELECT *, regexp_replace(s1, '(?s)^(?:{'|'.join(text.PREFIXES)})+(.)', '\\1') AS s2 FROM c),
+     e AS (SELECT *, regexp_replace(s2, '(?s)(.)(?:{'|'.join(text.SUFFIXES)})+$', '\\1') AS s3 FROM d),
+     f AS (SELECT *, regexp_replace(regexp_replace({steps}, '^{edge}', ''), '{edge}$', '') AS s FROM e)
+SELECT natural_key, coalesce(nullif(s, ''), nullif(base, ''), regexp_replace(regexp_replace(n, '^{_BLANK_SQL}+', ''), '{_BLANK_SQL}+$', '')) AS title_normalized,
+       CASE WHEN coalesce(t, '') = '' THEN 'unknown' {methods} ELSE 'unknown' END AS method,
+       nullif(regexp_extract(title, '^【([^】]+)】', 1), '') AS tag,
+       coalesce(regexp_matches(nullif(regexp_extract(title, '^【([^】]+)】', 1), ''), '{'|'.join(text.RESULT_TAGS)}'), false) AS is_result
+FROM f"""
+
+
+@_query(_titles_sql())
 def r_titles(spark: SparkSession, d: str) -> DataFrame:
     """Titles normalized, with method, tag and result mark."""
     t = F.col("title")
     return read(spark, d, "tender").select("natural_key", text.normalize_title(t).alias("title_normalized"), text.classify_method(t).alias("method"), text.leading_tag(t).alias("tag"), text.is_result_announcement(t).alias("is_result"))
 
 
-@_query()
+def _dates_sql() -> str:
+    signs = {sign: era for names, era in temporal.ERAS.items() for sign in names}
+    date = rf"(?:(?:{'|'.join(signs)})\s*(?:元|\d{{1,2}})|\d{{4}})\s*[年./-]\s*\d{{1,2}}\s*[月./-]\s*\d{{1,2}}\s*日?"
+    parts = rf"^({'|'.join(signs)})?\s*(元|\d+)\s*[年./-]\s*(\d+)\s*[月./-]\s*(\d+)"
+    before, first, last = (" ".join(f"WHEN '{sign}' THEN {era[0]}" if i == 0 else f"WHEN '{sign}' THEN DATE '{era[i]}'" for sign, era in signs.items()) for i in range(3))
+    clock = r"(午前|午後)?\s*(\d{1,2})\s*[時:]\s*(\d{1,2})?"
+    return f"""
+WITH a AS (SELECT doc_id, {_nfkc_sql('text')} AS t FROM documents),
+     -- a character that no text has behind every date, so that texts fall apart there
+     b AS (SELECT doc_id, t, string_split(regexp_replace(t, '({date})', '\\1' || chr(57344), 'g'), chr(57344)) AS pieces FROM a),
+     c AS (SELECT doc_id, pieces, unnest(range(1, len(pieces))) AS k FROM b),
+     w AS (SELECT *, regexp_extract(pieces[k], '(?s)({date})$', 1) AS w FROM c),
+     v AS (SELECT *, regexp_extract(w, '{parts}', 1) AS era, replace(regexp_extract(w, '{parts}', 2), '元', '1') AS y, regexp_extract(w, '{parts}', 3) AS m, regexp_extract(w, '{parts}', 4) AS d FROM w),
+     e AS (SELECT *, CASE WHEN CAST(y AS INT) > 0 THEN try_cast(lpad(CAST(CAST(y AS INT) + CASE era {before} ELSE 0 END AS VARCHAR), 4, '0') || '-' || lpad(m, 2, '0') || '-' || lpad(d, 2, '0') AS DATE) END AS day FROM v),
+     g AS (SELECT * FROM e WHERE day IS NOT NULL AND (era = '' OR day BETWEEN CASE era {first} END AND CASE era {last} END)),
+     f AS (SELECT doc_id, count(*) AS n, min(day) AS earliest, count(DISTINCT day) > 1 AS ambiguous, arg_min(array_to_string(pieces[k + 1 :], ''), x * 1000000 + k) AS rest FROM (SELECT * EXCLUDE (day), day, day - DATE '1970-01-01' AS x FROM g) GROUP BY 1),
+     z AS (SELECT *, regexp_extract(rest, '{clock}', 0) AS whole, regexp_extract(rest, '{clock}', 1) AS half, try_cast(regexp_extract(rest, '{clock}', 2) AS INT) AS h, coalesce(try_cast(regexp_extract(rest, '{clock}', 3) AS INT), 0) AS mi FROM f),
+     q AS (SELECT *, CASE WHEN half = '' THEN h ELSE h % CASE WHEN h = 12 THEN 12 ELSE 100 END + CASE WHEN half = '午後' THEN 12 ELSE 0 END END AS hour FROM z)
+SELECT a.doc_id, q.earliest, CASE WHEN contains(q.rest, '正午') THEN '12:00' WHEN q.whole <> '' AND q.hour < 24 AND q.mi < 60 THEN lpad(CAST(q.hour AS VARCHAR), 2, '0') || ':' || lpad(CAST(q.mi AS VARCHAR), 2, '0') END AS time,
+       q.ambiguous, CAST(coalesce(q.n, 0) AS INT) AS dates
+FROM a LEFT JOIN q USING (doc_id)"""
+
+
+@_query(_dates_sql())
 def r_dates(spark: SparkSession, d: str) -> DataFrame:
     """Every date written in a document, and its deadline reading."""
     t = spread(read(spark, d, "documents").select("doc_id", "text"))
     return t.withColumn("deadline", temporal.parse_deadline("text")).select("doc_id", F.col("deadline.date").alias("earliest"), F.col("deadline.time").alias("time"), F.col("deadline.ambiguous").alias("ambiguous"), F.coalesce(F.size(temporal.find_dates(F.col("text"))), F.lit(0)).alias("dates"))
 
 
-@_query()
+def _prices_sql() -> str:
+    number = f"([0-9]{{1,{money.DIGITS}}})"
+    head = f"""
+WITH a AS (SELECT natural_key, regexp_replace(regexp_replace(coalesce(price_raw, ''), '^{_BLANK_SQL}+', ''), '{_BLANK_SQL}+$', '') AS shown FROM tender),
+     b AS (SELECT natural_key, CASE WHEN length(shown) <= {money.LONGEST} THEN {_nfkc_sql('shown')} ELSE '' END AS t FROM a),
+     u0 AS (SELECT natural_key, t, replace(t, ',', '') AS rest, 0::HUGEINT AS total, false AS taken FROM b)"""
+    units = list(money.UNITS.items())
+    for i, (unit, factor) in enumerate(units, 1):
+        head += f""",
+     x{i} AS (SELECT *, regexp_extract(rest, '(?:^|[^0-9]){number}\\s*{unit}', 1) AS got FROM u{i - 1}),
+     u{i} AS (SELECT natural_key, t, CASE WHEN got <> '' THEN regexp_replace(rest, '(?s)^(?:.*?[^0-9])?[0-9]{{1,{money.DIGITS}}}\\s*{unit}', '') ELSE rest END AS rest,
+                     total + CASE WHEN got <> '' THEN CAST(got AS HUGEINT) * {factor} ELSE 0 END AS total, taken OR got <> '' AS taken FROM x{i})"""
+    hidden = " OR ".join(f"contains(t, '{x}')" for x in money.UNDISCLOSED)
+    empty = ", ".join(f"'{x}'" for x in money.EMPTY)
+    bare = f"nullif(regexp_extract(replace(t, ',', ''), '(?:^|[^0-9]){number}(?:[^0-9]|$)', 1), '')"
+    return f"""{head},
+     p AS (SELECT natural_key, t, {hidden} AS undisclosed, CASE WHEN taken THEN total ELSE CAST({bare} AS HUGEINT) END AS amount,
+                  regexp_matches(t, '{money.TAX_INCLUDED}') AS i, regexp_matches(t, '{money.TAX_EXCLUDED}') AS e FROM u{len(units)})
+SELECT natural_key, CASE WHEN NOT undisclosed AND t NOT IN ({empty}) AND amount <= 9223372036854775807 THEN CAST(amount AS BIGINT) END AS amount, undisclosed,
+       CASE WHEN i AND NOT e THEN 'included' WHEN e AND NOT i THEN 'excluded' ELSE 'unknown' END AS tax_basis FROM p"""
+
+
+@_query(_prices_sql())
 def r_prices(spark: SparkSession, d: str) -> DataFrame:
     """Price texts by the plain rules: amount, undisclosed, tax basis."""
     return read(spark, d, "tender").withColumn("p", money.parse_price("price_raw")).select("natural_key", money.as_bigint(F.col("p.amount")).alias("amount"), F.col("p.undisclosed").alias("undisclosed"), F.col("p.tax_basis").alias("tax_basis"))
@@ -231,7 +331,14 @@ def r_attachments(spark: SparkSession, d: str) -> DataFrame:
     return rows.select("id", "ext", urls.classify_before_fetch(F.col("ext")).alias("early"), urls.needs_human(F.col("status")).alias("needs_human"))
 
 
-@_query()
+_LOCAL_SQL = "|".join(n.lstrip(".").replace(".", "[.]") for n in urls.LOCAL_NAMES)
+
+
+@_query(f"""
+WITH h AS (SELECT natural_key, lower(rtrim(regexp_extract(coalesce(source_url, ''), '^(?i:https?)://(?:[^/?#]*@)?(\\[[^\\]]*\\]|[^/?#:@]*)(?::[0-9]*)?(?:[/?#]|$)', 1), '.')) AS host FROM tender)
+SELECT natural_key, host <> '' AND NOT regexp_matches(host, '(?:^|[.])(?:{_LOCAL_SQL})$')
+       AND NOT regexp_matches(host, '^(?:0|10|127)[.]|^169[.]254[.]|^192[.]168[.]|^192[.]0[.][02][.]|^172[.](?:1[6-9]|2[0-9]|3[01])[.]|^100[.](?:6[4-9]|[7-9][0-9]|1[01][0-9]|12[0-7])[.]|^198[.](?:1[89]|51[.]100)[.]|^203[.]0[.]113[.]|^2(?:2[4-9]|[345][0-9])[.]')
+       AND NOT regexp_matches(host, '^\\[(?:::|f[cdef]|2001:db8)') AS safe FROM h""")
 def r_urls(spark: SparkSession, d: str) -> DataFrame:
     """Which stored addresses may be fetched."""
     return read(spark, d, "tender").select("natural_key", urls.is_safe_url(F.col("source_url")).alias("safe"))
@@ -384,12 +491,122 @@ def r_digest(spark: SparkSession, d: str) -> DataFrame:
     return _top(spark, d).select("company_id", "natural_key", "score", F.col("days_left").cast("bigint").alias("days_left"), "rank", "total_matched", "omitted_count")
 
 
-@_query()
+@_query(
+    _RESULTS
+    + f""", k AS (SELECT c.*, row_number() OVER (PARTITION BY company_id ORDER BY coalesce(days_left, {digest.NO_DEADLINE}), score DESC, natural_key) AS n, count(*) OVER (PARTITION BY company_id) AS total FROM c),
+     i AS (SELECT k.company_id, k.n, k.total, '[関連度' || lpad(CAST(k.score AS VARCHAR), 3, ' ') || '] ' || coalesce(t.title, 'null') || chr(10) || '  機関   : ' || coalesce(o.name, 'null') || chr(10) || '  締切   : '
+                  || CASE WHEN t.bid_deadline_date IS NULL THEN '記載なし' ELSE strftime(t.bid_deadline_date, '%Y-%m-%d') || CASE WHEN t.bid_deadline_time IS NULL THEN '（時刻記載なし）' ELSE ' ' || t.bid_deadline_time || '必着' END END
+                  || CASE WHEN k.days_left IS NULL THEN '' ELSE '（あと' || k.days_left || '日）' END || chr(10) || '  予定価格: '
+                  || CASE WHEN t.price_undisclosed THEN '非公表' WHEN t.estimated_price IS NULL THEN '記載なし' ELSE format('{{:,}}', t.estimated_price) || '円' END
+                  || chr(10) || '  理由   : ' || chr(10) || '  原文   : ' || coalesce(t.source_url, 'null') AS item
+           FROM k JOIN tender t USING (natural_key) JOIN organization o ON o.id = t.organization_id WHERE k.n <= {digest.MAX_ITEMS}),
+     m AS (SELECT company_id, max(total) AS total, count(*) AS shown, string_agg(item, chr(10) || chr(10) ORDER BY n) AS body FROM i GROUP BY 1)
+SELECT x.company_id, '【入札案件通知】2026-08-29 の新着案件' || CASE WHEN m.company_id IS NULL THEN chr(10) || chr(10) || '本日は条件に合う新着案件がありませんでした。'
+         ELSE '（' || m.total || '件）' || chr(10) || chr(10) || m.body
+              || CASE WHEN m.total > m.shown THEN chr(10) || chr(10) || 'ほか ' || (m.total - m.shown) || ' 件は本メールに掲載していません（該当 ' || m.total || ' 件中 ' || m.shown || ' 件を表示）。すべての案件は管理画面でご確認ください。' ELSE '' END
+         END || chr(10) || chr(10) || '{digest.DISCLAIMER}' AS message
+FROM (SELECT DISTINCT company_id FROM results) x LEFT JOIN m USING (company_id)"""
+)
 def r_digest_text(spark: SparkSession, d: str) -> DataFrame:
     companies = _results(spark, d).select("company_id").distinct()
     return digest.render(_top(spark, d), companies, NOW)
 
 
+_SPEC_PROFILES = [
+    ("co-works", ["設計業務委託", "改修工事"], [], [], ["清掃", "Web"], ["警備"], 1_000_000, None),
+    ("co-supply", ["購入"], [], [], [], [], None, 50_000_000),
+]
+_STUB_SCORE = 55
+
+
+def _spec_cap(company: str) -> int:
+    return 50 if company == "co-works" else 7
+
+
+def _stage_three(spark: SparkSession, d: str) -> DataFrame:
+    """Every tender with the text of its first readable attachment through all three stages, judged by the stub under a budget."""
+    profiles = spark.createDataFrame(_SPEC_PROFILES, match.PROFILE)
+    caps = spark.createDataFrame([(p[0], _spec_cap(p[0])) for p in _SPEC_PROFILES], "company_id string, cap int")
+    read_ok = read(spark, d, "extraction_result").where("status = 'ok' and text is not null and natural_key is not null")
+    specs = read_ok.groupBy("natural_key").agg(F.min_by("text", "id").alias("spec_text"))
+    rows = read(spark, d, "tender").where("natural_key is not null and title is not null").groupBy("natural_key").agg(F.min(F.struct("title", "estimated_price")).alias("t"))
+    tenders = rows.join(specs, "natural_key", "left").select("natural_key", "t.title", F.col("t.estimated_price").alias("amount"), F.lit(None).cast("string").alias("prefecture_code"), "spec_text")
+    decided = materialize(match.cascade(tenders, profiles, True))
+    texts = profiles.select("company_id", match.profile_text().alias("profile_text"))
+    pairs = decided.where("to_judge").select("natural_key", "company_id", F.concat_ws("/", "natural_key", "company_id").alias("seq"), "title", "spec_text").join(texts, "company_id")
+    planned = judge.plan_calls(judge.with_keys(pairs), spark.createDataFrame([], "cache_key string"), spark.createDataFrame([], "company_id string, used bigint"), caps)
+    said = planned.where("action <> 'over'").withColumn("v", judge.stub(F.col("title"), F.col("spec_text"), F.col("profile_text"), _STUB_SCORE)).withColumn("cache_hit", F.col("action") == "hit")
+    verdicts = said.select("natural_key", "company_id", F.col("v.score").alias("verdict_score"), "v.input_tokens", "v.output_tokens", "cache_hit", judge.cost(F.col("v.input_tokens"), F.col("v.output_tokens"), F.col("cache_hit")).alias("cost_jpy"))
+    return match.apply_verdicts(decided, verdicts)
+
+
+def _grams_sql(x: str) -> str:
+    return rf"regexp_replace(lower({x}), '(?:{_BLANK_SQL}|[,、。・/／\-−ー()（）\[\]【】])+', '', 'g')"
+
+
+def _stage_three_sql() -> str:
+    entries = ", ".join(f"('{p[0]}', {i}, '{e}')" for p in _SPEC_PROFILES for i, e in enumerate([*p[1], *p[4]]))
+    listed = lambda xs: "[" + ", ".join(f"'{x.lower()}'" for x in xs) + "]::VARCHAR[]"
+    told = lambda p: "\n".join([f"業種・営業品目: {'、'.join(p[1]) or '指定なし'}", "対応エリア: 指定なし", "保有資格: 指定なし", f"注目キーワード: {'、'.join(p[4]) or '指定なし'}", f"対応可能金額: {p[6]}〜{p[7]}"])
+    prof = ", ".join(f"('{p[0]}', {listed(p[4])}, {listed(p[5])}, {p[6] or 'NULL'}::BIGINT, {p[7] or 'NULL'}::BIGINT, {_spec_cap(p[0])}, {len(told(p))})" for p in _SPEC_PROFILES)
+    flat = _flat_sql
+    return f"""
+WITH entries(company_id, pos, entry) AS (VALUES {entries}),
+     prof(company_id, kw, ng, lo, hi, cap, chars) AS (VALUES {prof}),
+     spec AS (SELECT natural_key, arg_min(text, id) AS spec FROM extraction_result WHERE status = 'ok' AND text IS NOT NULL AND natural_key IS NOT NULL GROUP BY 1),
+     tt AS (SELECT natural_key, title, estimated_price AS amount, {_nfkc_sql('title')} AS n, spec FROM (SELECT * FROM tender WHERE title IS NOT NULL AND natural_key IS NOT NULL) LEFT JOIN spec USING (natural_key)),
+     texts AS (SELECT natural_key AS id, {_grams_sql('n')} AS s FROM tt UNION ALL SELECT company_id || '#' || pos, {_grams_sql('entry')} FROM entries),
+     g AS (SELECT id, substr(s, CAST(i AS INT), 2) AS gram, count(*) AS n FROM (SELECT id, s, unnest(range(1, greatest(length(s), 2))) AS i FROM texts WHERE length(s) >= 1) GROUP BY 1, 2),
+     nn AS (SELECT id, sum(n * n) AS norm FROM g GROUP BY 1),
+     sc AS (SELECT a.id AS natural_key, b.id AS e, sum(a.n * b.n) / (sqrt(CAST(any_value(x.norm) AS DOUBLE)) * sqrt(CAST(any_value(y.norm) AS DOUBLE))) AS score
+            FROM g a JOIN g b ON a.gram = b.gram AND contains(b.id, '#') AND NOT contains(a.id, '#') JOIN nn x ON x.id = a.id JOIN nn y ON y.id = b.id GROUP BY 1, 2),
+     best AS (SELECT natural_key, split_part(e, '#', 1) AS company_id, max(score) AS score FROM sc GROUP BY 1, 2),
+     x AS (SELECT tt.*, prof.*, coalesce(best.score, 0.0) AS sim, len(list_filter(ng, lambda k: contains(lower(n), k))) > 0 AS excluded, len(list_filter(kw, lambda k: contains(lower(n), k))) > 0 AS hit
+           FROM tt CROSS JOIN prof LEFT JOIN best ON best.natural_key = tt.natural_key AND best.company_id = prof.company_id),
+     y AS (SELECT *, hit AND NOT excluded AS kh, NOT excluded AND (amount IS NULL OR ((lo IS NULL OR amount >= lo) AND (hi IS NULL OR amount <= hi))) AS promote, sim >= CASE WHEN spec IS NOT NULL THEN {match.RELAXED} ELSE {match.STRICT} END AS near FROM x),
+     d AS (SELECT *, promote AND near AS p2, promote AND near AND spec IS NOT NULL AS asked,
+                  CASE WHEN excluded THEN 0 WHEN NOT promote THEN CASE WHEN kh THEN 50 ELSE 0 END ELSE greatest(CASE WHEN kh THEN 50 ELSE 0 END, floor(sim * 100)) END AS points FROM y),
+     q AS (SELECT natural_key, company_id, cap, {flat('title')} || chr(0) || {flat(f"substr(spec, 1, {identity.SPEC_CHARS})")} || chr(0) || company_id AS content, floor((length(title) + length(substr(spec, 1, {identity.SPEC_CHARS})) + chars) * {judge.STUB_RATE}) AS tokens FROM d WHERE asked),
+     r AS (SELECT *, row_number() OVER (PARTITION BY content ORDER BY natural_key || '/' || company_id) AS k FROM q),
+     b AS (SELECT content, row_number() OVER (PARTITION BY company_id ORDER BY natural_key || '/' || company_id) <= cap AS paid FROM r WHERE k = 1),
+     v AS (SELECT r.natural_key, r.company_id, r.k > 1 AS cache_hit, CASE WHEN r.k > 1 THEN 0.0 ELSE (r.tokens * {judge.IN_RATE} + {judge.STUB_OUT} * {judge.OUT_RATE}) / 1e6 END AS cost FROM r JOIN b USING (content) WHERE b.paid),
+     o AS (SELECT d.natural_key, d.company_id, CASE WHEN v.natural_key IS NOT NULL THEN 3 WHEN promote THEN 2 ELSE 1 END AS stage,
+                  CAST(CASE WHEN v.natural_key IS NOT NULL THEN greatest({_STUB_SCORE}, CASE WHEN kh THEN 50 ELSE 0 END) ELSE points END AS INT) AS score,
+                  CASE WHEN v.natural_key IS NOT NULL THEN 'llm' WHEN excluded THEN 'none' WHEN kh THEN 'rule' WHEN promote THEN 'vector' ELSE 'none' END AS matched_by,
+                  CASE WHEN v.natural_key IS NOT NULL THEN {_STUB_SCORE} >= {match.NOTIFY_SCORE} OR kh ELSE NOT excluded AND (kh OR p2) END AS should_notify,
+                  v.natural_key IS NOT NULL AND kh AND {_STUB_SCORE} < {match.NOTIFY_SCORE} AS llm_overridden, v.cache_hit, coalesce(v.cost, 0.0) AS cost_jpy
+           FROM d LEFT JOIN v ON v.natural_key = d.natural_key AND v.company_id = d.company_id)
+"""
+
+
+@_query(_stage_three_sql() + "SELECT natural_key, company_id, stage, score, matched_by, should_notify, llm_overridden, cache_hit, round(cost_jpy, 6) AS cost_jpy FROM o")
+def r_judged(spark: SparkSession, d: str) -> DataFrame:
+    """Decisions of all three stages with the judge's verdicts, cache hits and costs."""
+    names = ("natural_key", "company_id", "stage", "score", "matched_by", "should_notify", "llm_overridden", "cache_hit")
+    return _stage_three(spark, d).select(*names, F.round("cost_jpy", 6).alias("cost_jpy"))
+
+
+@_query(
+    _stage_three_sql()
+    + """SELECT company_id, count(*) AS total, CAST(count_if(stage >= 2) AS BIGINT) AS stage_2, CAST(count_if(stage = 3) AS BIGINT) AS stage_3, CAST(count_if(stage = 3 AND NOT cache_hit) AS BIGINT) AS billed,
+       CAST(count_if(stage = 3 AND cache_hit) AS BIGINT) AS cache_hits, round(sum(cost_jpy), 6) AS cost_jpy, CAST(count_if(should_notify) AS BIGINT) AS notified, round(count_if(stage = 3) / count(*)::DOUBLE, 9) AS stage_3_ratio FROM o GROUP BY 1"""
+)
+def r_judged_funnel(spark: SparkSession, d: str) -> DataFrame:
+    """How far tenders with specifications went and what that cost."""
+    got = match.funnel(_stage_three(spark, d))
+    return got.withColumns({"cost_jpy": F.round("cost_jpy", 6), "stage_3_ratio": F.round("stage_3_ratio", 9)})
+
+
+@_query(f"""
+SELECT e.id, sha256({_flat_sql('t.title')} || chr(0) || {_flat_sql(f'substr(e.text, 1, {identity.SPEC_CHARS})')} || chr(0) || {_flat_sql('e.file_ext')}) AS cache_key
+FROM extraction_result e LEFT JOIN (SELECT DISTINCT ON (natural_key) natural_key, title FROM tender WHERE natural_key IS NOT NULL) t USING (natural_key) WHERE e.id IS NOT NULL""")
+def r_cache_keys(spark: SparkSession, d: str) -> DataFrame:
+    """Content keys of attachments beside their tender's title."""
+    titles = read(spark, d, "tender").where("natural_key is not null").groupBy("natural_key").agg(F.first("title").alias("title"))
+    rows = read(spark, d, "extraction_result").where("id is not null").join(titles, "natural_key", "left")
+    return rows.select("id", identity.cache_key(F.coalesce("title", F.lit("")), F.coalesce("text", F.lit("")), F.coalesce("file_ext", F.lit(""))).alias("cache_key"))
+
+
 def _cases(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     cases = read(spark, d, "doc_label").select(F.col("doc_id").alias("case_id"), (F.col("label") == "prose").alias("relevant"))
     told = F.coalesce(F.col("n_chars") >= 100, F.lit(False))
