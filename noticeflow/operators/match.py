@@ -49,36 +49,59 @@ def bigrams(form: Column) -> Column:
     return F.when(n >= 2, many).when(n == 1, F.array(s)).otherwise(F.expr("cast(array() as array<string>)"))
 
 
-def grams(texts: DataFrame, id: str, form: str) -> DataFrame:
-    """(id, gram, n, norm2): counts of each text's pieces and its squared norm."""
-    pieces = texts.select(F.col(id).alias("id"), F.explode(bigrams(F.col(form))).alias("gram"))
-    counted = pieces.groupBy("id", "gram").agg(F.count(F.lit(1)).alias("n"))
-    norms = counted.groupBy("id").agg(F.sum(F.col("n") * F.col("n")).alias("norm2"))
-    return counted.join(norms, "id")
+def grams(texts: DataFrame, id: str, form: str, copies: Column | None = None) -> DataFrame:
+    """(id, gram, n, norm2): counts of each text's pieces and its squared norm; rows of one id are one text.
+
+    The norm comes from the counts gathered per id, not from a join of the pieces
+    with themselves, whose sides a planner takes for as small as the titles' files.
+    """
+    times = F.lit(1).cast("bigint") if copies is None else copies
+    pieces = texts.select(F.col(id).alias("id"), times.alias("times"), F.explode(bigrams(F.col(form))).alias("gram"))
+    counted = pieces.groupBy("id", "gram").agg(F.sum("times").alias("n"))
+    whole = counted.groupBy("id").agg(F.collect_list(F.struct("gram", "n")).alias("g"), F.sum(F.col("n") * F.col("n")).alias("norm2"))
+    return whole.select("id", F.explode("g").alias("g"), "norm2").select("id", "g.gram", "g.n", "norm2")
 
 
 def similarity(left: DataFrame, right: DataFrame) -> DataFrame:
     """(left, right, score) of all pairs that share a piece; the dot product is whole, so the score is bit-stable.
 
-    An equi-join on the pieces: pairs without one in common (score 0) never exist as rows.
+    An equi-join on the pieces: pairs without one in common (score 0) never exist as
+    rows. It is a merge join, so neither side passes through the driver.
     """
     a = left.select(F.col("id").alias("left"), "gram", F.col("n").alias("na"), F.col("norm2").alias("ia"))
     b = right.select(F.col("id").alias("right"), "gram", F.col("n").alias("nb"), F.col("norm2").alias("ib"))
-    dot = a.join(b, "gram").groupBy("left", "right").agg(F.sum(F.col("na") * F.col("nb")).alias("dot"), F.first("ia").alias("ia"), F.first("ib").alias("ib"))
+    met = a.hint("merge").join(b, "gram").repartition("left")  # what follows groups by the left side
+    dot = met.groupBy("left", "right").agg(F.sum(F.col("na") * F.col("nb")).alias("dot"), F.first("ia").alias("ia"), F.first("ib").alias("ib"))
     return dot.select("left", "right", (F.col("dot") / (F.sqrt(F.col("ia").cast("double")) * F.sqrt(F.col("ib").cast("double")))).alias("score"))
 
 
-def stage_two(titles: DataFrame, profiles: DataFrame) -> DataFrame:
-    """(natural_key, company_id, score, best_match): the most similar corpus entry, the first of equal ones.
+def _most_similar(titles: DataFrame, profiles: DataFrame) -> DataFrame:
+    """(natural_key, _two): each title's most similar corpus entry per company as an array of (company_id, score, best_match).
 
-    Profiles without corpus, and pairs without any common piece, are absent:
-    ``cascade`` reads them as score 0.
+    Titles that read the same are compared once: a key stands for its forms with
+    their counts, under 128 bits of their hash, so a long title is not repeated
+    beside each of its pieces.
     """
+    counted = titles.where("natural_key is not null").groupBy("natural_key", "title_form").agg(F.count(F.lit(1)).alias("copies"))
+    keyed = counted.groupBy("natural_key").agg(F.array_sort(F.collect_list(F.struct("title_form", "copies"))).alias("forms"))
+    keyed = keyed.withColumn("wording", F.unhex(F.substring(F.sha2(F.to_json("forms"), 256), 1, 32)))
+    wordings = keyed.groupBy("wording").agg(F.first("forms").alias("forms")).select("wording", F.explode("forms").alias("f")).select("wording", "f.*")
     entries = profiles.select("company_id", F.posexplode("corpus").alias("at", "entry"))
     forms = entries.withColumn("form", match_form(F.col("entry"))).withColumn("e", F.struct("company_id", "at", "entry"))
-    scored = similarity(grams(titles, "natural_key", "title_form"), grams(forms, "e", "form"))
+    scored = similarity(grams(wordings, "wording", "title_form", F.col("copies")), grams(forms, "e", "form"))
     best = F.max(F.struct(F.col("score"), (-F.col("right.at")).alias("first"), F.col("right.entry").alias("entry"))).alias("b")
-    return scored.groupBy(F.col("left").alias("natural_key"), F.col("right.company_id").alias("company_id")).agg(best).select("natural_key", "company_id", "b.score", F.col("b.entry").alias("best_match"))
+    each = scored.groupBy(F.col("left").alias("wording"), F.col("right.company_id").alias("company_id")).agg(best)
+    found = each.groupBy("wording").agg(F.collect_list(F.struct("company_id", F.col("b.score").alias("score"), F.col("b.entry").alias("best_match"))).alias("_two"))
+    return keyed.select("natural_key", "wording").hint("merge").join(found, "wording").select("natural_key", "_two")
+
+
+def stage_two(titles: DataFrame, profiles: DataFrame) -> DataFrame:
+    """(natural_key, company_id, score, best_match): the most similar corpus entry, the first of equal ones.
+
+    Profiles without corpus, and pairs without any common piece, are absent:
+    ``cascade`` reads them as score 0. Rows of one key are one text; null keys are out.
+    """
+    return _most_similar(titles, profiles).select("natural_key", F.explode("_two").alias("t")).select("natural_key", "t.*")
 
 
 def rule_score(keyword_hit: Column, score: Column) -> Column:
@@ -114,9 +137,11 @@ def cascade(tenders: DataFrame, profiles: DataFrame, with_judge: bool) -> DataFr
     """
     formed = profiles_with_forms(profiles)
     titled = tenders.withColumn("title_form", F.lower(nfkc(F.col("title"))))
-    one = stage_one(pair_up(titled, formed))
-    two = stage_two(titled, formed)
-    joined = one.join(two, ["natural_key", "company_id"], "left")
+    # tenders meet stage two before they are multiplied by the profiles, and neither passes through the driver
+    beside = titled.hint("merge").join(_most_similar(titled, formed), "natural_key", "left")
+    one = stage_one(pair_up(beside, formed))
+    two = F.get(F.filter("_two", lambda t: t["company_id"] == F.col("company_id")), F.lit(0))
+    joined = one.withColumns({"score": two["score"], "best_match": two["best_match"]})
     score = F.coalesce(F.col("score"), F.lit(0.0))
     has_spec = F.col("spec_text").isNotNull() & F.lit(with_judge)
     passed = (F.size("corpus") == 0) | (score >= F.when(has_spec, RELAXED).otherwise(STRICT))
