@@ -80,6 +80,10 @@ def test_cascade_sends_no_tenders_through_the_driver(spark, data):
     assert not through_the_driver(reference.QUERIES["r_cascade"](spark, data))
 
 
+def test_funnel_sends_no_tenders_through_the_driver(spark, data):
+    assert not through_the_driver(reference.QUERIES["r_funnel"](spark, data))
+
+
 def test_keyword_is_never_lost(spark):
     rng = random.Random(9)
     words = ["システム", "道路", "警備", "改修", "ソフトウェア", "清掃"]
