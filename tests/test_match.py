@@ -84,6 +84,19 @@ def test_funnel_sends_no_tenders_through_the_driver(spark, data):
     assert not through_the_driver(reference.QUERIES["r_funnel"](spark, data))
 
 
+def test_similarity_sends_no_titles_through_the_driver(spark, data):
+    assert not through_the_driver(reference.QUERIES["r_similarity"](spark, data))
+
+
+def test_titles_that_read_the_same_keep_their_rows(spark):
+    rows = [("a", "鋼管 更新"), ("b", "鋼管 更新"), ("c", "鋼管 更新"), ("c", "鋼管 更新"), ("d", "鋼管"), ("d", "更新"), ("e", None), (None, "鋼管 更新"), ("f", "清掃")]
+    t = spark.createDataFrame(rows, "natural_key string, title string").withColumn("title_form", match_form(F.col("title")))
+    p = match.profiles_with_forms(profiles(spark, ("x", ["鋼管更新"], [], [], [], [], None, None), ("y", ["更新"], [], [], ["道路"], [], None, None)))
+    got = {(r["natural_key"], r["company_id"]): round(r["score"], 9) for r in match.stage_two(t, p).collect()}
+    # rows of one key are one text, so d has the pieces of both of its titles
+    assert got == {(k, c): v for k, by in {"a": (1.0, 0.577350269), "b": (1.0, 0.577350269), "c": (1.0, 0.577350269), "d": (0.816496581, 0.707106781)}.items() for c, v in zip("xy", by, strict=True)}
+
+
 def test_keyword_is_never_lost(spark):
     rng = random.Random(9)
     words = ["システム", "道路", "警備", "改修", "ソフトウェア", "清掃"]
