@@ -244,20 +244,36 @@ def canonical_tokens(tokens: DataFrame, buckets: int = 4096, salts: int = 8) ->
     return first.join(second, first["spelling"] == second["local"]).select("token", F.col("final").alias("spelling"))
 
 
+def _forms(texts: DataFrame) -> DataFrame:
+    """(text, form) of every distinct ``text`` with a visible token: token by token in its canonical spelling, blanks as single spaces."""
+    distinct = texts.where("text is not null").distinct()
+    split = distinct.select("text", F.posexplode(_blank_split("text")).alias("at", "token"))
+    spelled = split.join(canonical_tokens(split.select("token")), "token")
+    form = F.concat_ws(" ", F.transform(F.array_sort(F.collect_list(F.struct("at", "spelling"))), lambda x: x["spelling"]))
+    return spelled.groupBy("text").agg(form.alias("form"))
+
+
 def canonical_texts(df: DataFrame, id: str, text: str) -> DataFrame:
     """(id, text, form): the text token by token in its canonical spelling, blanks as single spaces.
 
     Texts are made distinct first, so repeated texts are split and joined once.
     """
-    distinct = df.where(F.col(text).isNotNull()).select(F.col(text).alias("text")).distinct()
-    split = distinct.select("text", F.posexplode(_blank_split("text")).alias("at", "token"))
-    spelled = split.join(canonical_tokens(split.select("token")), "token")
-    form = F.concat_ws(" ", F.transform(F.array_sort(F.collect_list(F.struct("at", "spelling"))), lambda x: x["spelling"]))
-    forms = spelled.groupBy("text").agg(form.alias("form"))
+    forms = _forms(df.select(F.col(text).alias("text")))
     rows = df.select(F.col(id).alias("id"), F.col(text).alias("text"))
     return rows.join(forms, "text", "left").select("id", "text", F.when(F.col("text").isNotNull(), F.coalesce("form", F.lit(""))).alias("form"))
 
 
+def canonical_columns(df: DataFrame, id: str, columns: dict[str, str]) -> DataFrame:
+    """The id, and each text column beside its form, named by ``columns``; all columns share one choice of spellings, so their forms compare."""
+    rows = df.select(id, *columns)
+    # each column is joined with the forms
+    forms = materialize(_forms(rows.select(F.explode(F.array(*columns)).alias("text"))))
+    for text, form in columns.items():
+        rows = rows.join(forms.select(F.col("text").alias("_text"), F.col("form").alias("_form")), F.col(text) == F.col("_text"), "left")
+        rows = rows.withColumn(form, F.when(F.col(text).isNotNull(), F.coalesce("_form", F.lit("")))).drop("_text", "_form")
+    return rows.select(id, *[c for pair in columns.items() for c in pair])
+
+
 @F.pandas_udf(T.ArrayType(T.StringType()))
 def _blank_split(text: pd.Series) -> pd.Series:
     """The tokens of texts; composed first, since composition can bring blanks."""

@@ -62,9 +62,8 @@ def p5_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p5_forms(spark: SparkSession, d: str) -> DataFrame:
-    """Every tender's normalized title in one form."""
-    forms = lookalike.canonical_texts(read(spark, d, "tender"), "natural_key", "title_normalized")
-    return forms.select(F.col("id").alias("natural_key"), F.col("text").alias("title_normalized"), F.col("form").alias("title_form"))
+    """Every tender's normalized title (title_form) and title as it was published (title_own_form) in one form."""
+    return lookalike.canonical_columns(read(spark, d, "tender"), "natural_key", {"title_normalized": "title_form", "title": "title_own_form"})
 
 
 def p8_ids(spark: SparkSession, d: str) -> DataFrame:

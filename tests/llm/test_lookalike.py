@@ -3,6 +3,7 @@ import random
 import pytest
 
 from noticeflow.llm import lookalike as L
+from noticeflow.llm import queries
 
 SAME = [
     ("Ｗｅｂサイト", "Webサイト"), ("ﾃﾞｰﾀｾﾝﾀｰ", "データセンター"), ("データ", "データ"), ("消⁠防​署", "消防署"), ("業\U000e0101務", "業務"), ("⼯事", "工事"), ("エ事", "工事"), ("サーバ—", "サーバー"), ("サ─バ一", "サーバー"),
@@ -122,3 +123,12 @@ def test_a_hot_form(spark):
     rows = spark.range(100_000).selectExpr("cast(id as string) id", "'o' as g", "if(id = 7, '工事', if(id = 8, '⼯事', 'エ事')) as t")
     got = L.same_looking_pairs(rows, "id", "g", "t")
     assert got.count() == 2 * 99_998 + 1
+
+
+def test_titles_come_in_one_form_with_normalized_titles(spark, tmp_path):
+    rows = [("a", "工事 データ", "工事 データ"), ("b", "エ事 データ", "工事 データ"), ("c", "⼯事　ﾃﾞｰﾀ", "エ事 データ"), ("d", None, "サーバー"), ("e", "サーバ—", None), ("e", "\u2066", ""), (None, "別", "サーバー 別")]
+    spark.createDataFrame(rows, "natural_key string, title string, title_normalized string").write.parquet(str(tmp_path / "tender.parquet"))
+    got = queries.p5_forms(spark, str(tmp_path)).collect()
+    assert len(got) == len(rows) and {(r["natural_key"], r["title"], r["title_normalized"]) for r in got} == set(rows)
+    forms = {(r["title"], r["title_normalized"]): (r["title_own_form"], r["title_form"]) for r in got}
+    assert [forms[r[1:]] for r in rows] == [("工事 データ", "工事 データ")] * 3 + [(None, "サーバー"), ("サーバー", None), ("", ""), ("別", "サーバー 別")]
